@@ -157,7 +157,7 @@ def decode(df: DataFrame, keep: list[str], path: str | None = None) -> DataFrame
                 texts = decode_ids(np.asarray(ids.flatten()), np.asarray(offsets.flatten()), counts, path)
                 yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(k)) for k in keep), pa.array(texts, pa.binary())], [*keep, "decoded"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name in keep)
+    fields = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keep)
     return df.select(*dict.fromkeys([*keep, "ids", "offsets"])).mapInArrow(run, f"{fields}, decoded binary")
 
 

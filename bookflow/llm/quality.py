@@ -159,6 +159,10 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return {"net": train(x, y, weight), "rows": known, "vectors": vectors}
 
 
+def scores(own: dict | None, symbols: Symbols | None, texts: list[str]) -> np.ndarray:
+    return sigmoid(forward(own["net"], features(texts, symbols, own["vectors"])) / own["net"]["heat"]) if own else np.full(len(texts), 0.5)
+
+
 def score(df: DataFrame, model: dict | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score) of every row."""
     shared = df.sparkSession.sparkContext.broadcast(model)  # bounded by WORDS
@@ -167,13 +171,25 @@ def score(df: DataFrame, model: dict | None, id_col: str = "doc_id", text_col: s
         own = shared.value
         symbols = Symbols(own["rows"]) if own else None
         for part, texts in pieces(batches, "text"):
-            found = sigmoid(forward(own["net"], features(texts, symbols, own["vectors"])) / own["net"]["heat"]) if own else np.full(len(texts), 0.5)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.float64())], ["id", "score"])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores(own, symbols, texts), pa.float64())], ["id", "score"])
 
     chosen = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return chosen.mapInArrow(run, "id long, score double").withColumnRenamed("id", id_col)
 
 
+def keep(df: DataFrame, model: dict | None, least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of df whose score is `least` or more, with all their columns; no shuffle."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        symbols = Symbols(own["rows"]) if own else None
+        for part, texts in pieces(batches, text_col):
+            yield part.filter(pa.array(scores(own, symbols, texts) >= least))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = learn(docs, labels.filter(crc_mod("doc_id", 3) != 1))

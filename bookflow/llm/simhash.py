@@ -57,15 +57,16 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp long); fp holds the 64 bits."""
+    """(id, fp long, text_key long); fp holds the 64 bits, text_key tells rows of one id apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in pieces(batches, "text"):
             found = np.fromiter(map(fingerprint, texts), np.uint64, len(texts))
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found.view(np.int64))], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found.view(np.int64)), part.column(2)], ["id", "fp", "text_key"])
 
-    chosen = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return chosen.mapInArrow(run, "id long, fp long").withColumnRenamed("id", id_col)
+    text = F.col(text_col).cast("string")
+    chosen = df.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
+    return chosen.mapInArrow(run, "id long, fp long, text_key long").withColumnRenamed("id", id_col)
 
 
 def masks(bits: int, flips: int) -> np.ndarray:
@@ -194,22 +195,34 @@ def by_prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarr
 
 
 def cluster(prints: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Adds component_id, the smallest id reachable over links, to rows (id, fp). The rows should be a written table."""
+    """Adds component_id, the smallest id reachable over links, and group, a name of the component, to rows (id, fp, ...).
+
+    The rows should be a written table.
+    """
     distinct = written(prints.groupBy("fp").agg(F.min(id_col).alias("least")), "fingerprints")
     members = components(links(distinct.select("fp")))
     placed = members.join(distinct, members["node"] == distinct["fp"]).select(F.col("root").alias("u"), F.col("node").alias("v"), "least")
     low = placed.groupBy("u").agg(F.min("least").alias("low"))
     best = written(low.join(distinct, low["u"] == distinct["fp"]).select("u", F.least("low", "least").alias("m")), "best")
-    moved = with_least(placed.select("u", "v"), best).select(F.col("v").alias("fp"), "m").union(best.select(F.col("u").alias("fp"), "m"))
-    found = written(distinct.join(moved, "fp", "left").select("fp", F.coalesce("m", "least").alias("component_id")), "places")
+    moved = with_least(placed.select("u", "v"), best).select(F.col("v").alias("fp"), "m", "u").union(best.select(F.col("u").alias("fp"), "m", "u"))
+    found = written(distinct.join(moved, "fp", "left").select("fp", F.coalesce("m", "least").alias("component_id"), F.coalesce("u", "fp").alias("group")), "places")
     return prints.join(found, "fp")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp, component_id) of every row."""
+    """(id, fp, text_key, component_id, group) of every row."""
     return cluster(written(fingerprints(df, id_col, text_col), "prints"), id_col)
 
 
+def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each component: that with the smallest id (and text hash); of equal rows one. All columns are kept."""
+    first = F.min(F.struct(F.col(id_col).isNull(), F.col(id_col).alias("near_id"), F.col("text_key").alias("near_key"))).alias("s")
+    best = written(near_duplicates(df, id_col, text_col).groupBy("group").agg(first).select("s.near_id", "s.near_key"), "kept")
+    # rows to the same place by id and text hash; equal rows then meet without another shuffle
+    joined = df.withColumn("near_text", F.xxhash64(F.col(text_col).cast("string"))).join(best, (F.col(id_col).cast("long").eqNullSafe(F.col("near_id"))) & (F.col("near_text") == F.col("near_key")))
+    return joined.dropDuplicates(["near_id", "near_key"]).select(*df.columns)
+
+
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
