@@ -114,7 +114,7 @@ def level_sql(x: str) -> str:
 
 @query("detect_title", with_views(f"SELECT book_id, line_no, CAST(coalesce({level_sql(BARE)}, 0) AS INT) AS level FROM v_lines"))
 def detect_title(spark, sf_dir):
-    return X.lines(spark, sf_dir).select("book_id", "line_no", F.coalesce(T.title_level(F.col("line")), F.lit(0)).alias("level")  # 0: no title)
+    return X.lines(spark, sf_dir).select("book_id", "line_no", F.coalesce(T.title_level(F.col("line")), F.lit(0)).alias("level"))  # 0: no title
 
 
 @query("clean_text", with_views(f"SELECT book_id, string_agg(line, chr(10) ORDER BY line_no) AS text FROM v_lines WHERE NOT {matches_sql(BARE, rules.SECTION_NOISE)} GROUP BY book_id"))
