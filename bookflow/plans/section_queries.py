@@ -37,8 +37,8 @@ def text_to_paragraphs(spark, sf_dir):
 
 
 MERGED = f"""
-SELECT book_id, CAST(row_number() OVER (PARTITION BY book_id ORDER BY at) AS INT) AS para_no, content, CAST(level AS INT) AS level FROM (
- SELECT book_id, line_no AS at, bare AS content, level FROM (SELECT *, row_number() OVER (PARTITION BY book_id, bare ORDER BY line_no) AS nth FROM marked WHERE level IS NOT NULL) t WHERE nth = 1
+SELECT book_id, CAST(row_number() OVER (PARTITION BY book_id ORDER BY pos) AS INT) AS para_no, content, CAST(level AS INT) AS level FROM (
+ SELECT book_id, line_no AS pos, bare AS content, level FROM (SELECT *, row_number() OVER (PARTITION BY book_id, bare ORDER BY line_no) AS nth FROM marked WHERE level IS NOT NULL) t WHERE nth = 1
  UNION ALL SELECT book_id, min(line_no), string_agg(bare, chr(10) ORDER BY line_no), 0 FROM marked WHERE bare <> '' AND level IS NULL GROUP BY book_id, island) u"""
 MARKED = f", marked AS (SELECT *, sum(CAST(bare = '' OR level IS NOT NULL AS INT)) {UPTO} AS island FROM (SELECT book_id, line_no, {BARE} AS bare, {level_sql(BARE)} AS level FROM v_lines) a) "
 
