@@ -38,8 +38,11 @@ register_decoder(".pdf", decode_pdf)
 
 
 def read_checkpoints(spark: SparkSession, folder: str) -> DataFrame:
-    """Page records of all page_*.json below a folder; files that are no JSON or lack a required field are skipped, the last file of a page wins."""
-    rows = spark.read.schema(f"{PAGE.simpleString()[7:-1].replace(':', ' ')}, bad string").option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "bad").option("recursiveFileLookup", True).option("pathGlobFilter", "page_*.json").json(folder)
+    """Page records of all page_*.json in the checkpoint folders named (a glob such as out/*/_checkpoints; Spark hides such folders below a parent).
+
+    Files that are no JSON or lack a required field are skipped; the last file of a page wins.
+    """
+    rows = spark.read.schema(f"{PAGE.simpleString()[7:-1].replace(':', ' ')}, bad string").option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "bad").option("pathGlobFilter", "page_*.json").json(folder)
     whole = tolerant(rows.withColumn("file_name", F.col("_metadata.file_name")).filter("bad is null").drop("bad"))
     return whole.groupBy("source", "page_number").agg(F.max_by(F.struct("kind", "embedded_text", "ocr_text", "translation", "notes", "image_path", "file_name"), "file_name").alias("r")).select("source", "page_number", "r.*")
 
