@@ -167,5 +167,5 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     starts = F.transform("base_hits", lambda h: h["start"])
     return found.select(
         "doc_id", "n_words", F.size("base_hits").cast("long").alias("n_base"), F.array_min(starts).cast("long").alias("first_word"), F.array_max(starts).cast("long").alias("last_word"),
-        joined("base_hits").alias("base_labels"), joined("hits").alias("labels"), F.coalesce(F.array_max(F.transform("hits", lambda h: h["coverage"])), F.lit(0.0)).alias("score"),
+        joined("base_hits").alias("base_labels"), joined("hits").alias("labels"), F.round(F.coalesce(F.array_max(F.transform("hits", lambda h: h["coverage"])), F.lit(0.0)), 6).alias("score"),
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chunks, decontaminate, language, licenses, pii, quality, simhash, token_count, warc
+from . import bpe, chunks, decontaminate, language, licenses, oracles, pii, quality, simhash, token_count, warc
 
 
 def queries() -> dict:
@@ -10,4 +10,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_decontamination": oracles.decontamination(), "op6_license_scan": oracles.licenses(), "op7_warc_index": oracles.warc()}

@@ -30,11 +30,11 @@ def plain(rows):
                     met = sum(weight(w) for j, w in enumerate(t.words) if 0 <= s - t.key_at + j < len(ws) and ws[s - t.key_at + j] == w)
                     score = max(score, met / sum(map(weight, t.words)))
         starts = [s for s, _ in base]
-        yield i, len(ws), len(base), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in base})), ",".join(sorted(labels)), round(score, 9)
+        yield i, len(ws), len(base), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in base})), ",".join(sorted(labels)), round(score, 6)
 
 
 def got(df):
-    return sorted(((*tuple(r)[:-1], round(r.score, 9)) for r in df.collect()), key=repr)
+    return sorted(((*tuple(r)[:-1], round(r.score, 6)) for r in df.collect()), key=repr)
 
 
 def test_whole_table(spark):
