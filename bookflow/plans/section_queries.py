@@ -10,7 +10,7 @@ from bookflow.operators import assembly, chunking, lines as L, rendering, sectio
 from bookflow.plans import fixtures as X
 from bookflow.plans.fixtures import matches_sql, quoted, strip_sql, with_views
 from bookflow.plans.registry import query
-from bookflow.plans.text_queries import BARE, DOCX, LEVEL, level_sql, nested
+from bookflow.plans.text_queries import BARE, DOCX, PDF, level_sql, nested
 
 UPTO = "OVER (PARTITION BY book_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
 OPENS = f"({matches_sql('line', [rules.PAGE_MARKER])} AND CAST(regexp_extract(line, '^## 第 ([0-9]+) 页', 1) AS INT) >= {rules.FIRST_KEPT_PAGE})"
@@ -188,6 +188,6 @@ def docx_blocks(spark, sf_dir):
     return rendering.report_blocks(X.books(spark, sf_dir), "docx")
 
 
-@query("pdf_blocks", None)
+@query("pdf_blocks", with_views(PDF.replace("book_id, line_no", "book_id, part_no, head, line_no").replace("FROM v_lines", f"FROM ({PART_LINES}) v")))
 def pdf_blocks(spark, sf_dir):
     return rendering.report_blocks(X.books(spark, sf_dir), "pdf")
