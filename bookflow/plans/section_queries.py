@@ -13,14 +13,14 @@ from bookflow.plans.registry import query
 from bookflow.plans.text_queries import BARE, DOCX, PDF, level_sql, nested
 
 UPTO = "OVER (PARTITION BY book_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-OPENS = f"({matches_sql('line', [rules.PAGE_MARKER])} AND CAST(regexp_extract(line, '^## 第 ([0-9]+) 页', 1) AS INT) >= {rules.FIRST_KEPT_PAGE})"
+MARKER = matches_sql("line", [rules.PAGE_MARKER])
+OPENS = f"CASE WHEN {MARKER} THEN CAST(regexp_extract(line, '^## 第 ([0-9]+) 页', 1) AS INT) >= {rules.FIRST_KEPT_PAGE} ELSE false END"
+STARTS = matches_sql(BARE, rules.COPYRIGHT_STARTS)
+EVENT = f"CASE WHEN {OPENS} THEN false WHEN {STARTS} THEN true WHEN {matches_sql(BARE, [rules.COPYRIGHT_END])} THEN false END"
 CLEAN = f"""
 SELECT book_id, line_no, line FROM (
- SELECT *, coalesce(last_value(event IGNORE NULLS) {UPTO}, false) AS inside, max(opens) {UPTO} AS begun FROM (
-  SELECT book_id, line_no, line, {matches_sql('line', [rules.PAGE_MARKER])} AS marker, {matches_sql(BARE, rules.COPYRIGHT_STARTS)} AS starts, CASE WHEN marker THEN CAST({OPENS} AS INT) ELSE 0 END AS opens,
-   CASE WHEN marker AND opens = 1 THEN false WHEN starts THEN true WHEN {matches_sql(BARE, [rules.COPYRIGHT_END])} THEN false END AS event FROM (SELECT * FROM v_lines) v) a) b
+ SELECT *, coalesce(last_value(event IGNORE NULLS) {UPTO}, false) AS inside, max(opens) {UPTO} AS begun FROM (SELECT book_id, line_no, line, {MARKER} AS marker, {STARTS} AS starts, CAST({OPENS} AS INT) AS opens, {EVENT} AS event FROM v_lines) a) b
 WHERE begun = 1 AND NOT marker AND NOT starts AND NOT inside AND NOT {matches_sql(BARE, rules.PAGE_NUMBERS)} AND NOT {matches_sql(BARE, rules.NOISE)}"""
-CLEAN = CLEAN.replace(f"CASE WHEN marker THEN CAST({OPENS} AS INT) ELSE 0 END AS opens", f"CAST(CASE WHEN {matches_sql('line', [rules.PAGE_MARKER])} THEN CAST(regexp_extract(line, '^## 第 ([0-9]+) 页', 1) AS INT) >= {rules.FIRST_KEPT_PAGE} ELSE false END AS INT) AS opens")
 
 
 @query("clean_content", with_views(CLEAN))

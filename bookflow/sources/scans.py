@@ -47,12 +47,12 @@ def read_checkpoints(spark: SparkSession, folder: str) -> DataFrame:
     return whole.groupBy("source", "page_number").agg(F.max_by(F.struct("kind", "embedded_text", "ocr_text", "translation", "notes", "image_path", "file_name"), "file_name").alias("r")).select("source", "page_number", "r.*")
 
 
-def read_markdown(spark: SparkSession, path: str) -> DataFrame:
+def read_markdown(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(book_id, text): whole files."""
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("book_id"), F.col("value").alias("text"))
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
+def read_documents(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(source, kind, content) of all supported files below a path; kind is pdf or image."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     return files.select(F.col("path").alias("source"), T.source_kind(F.col("path")).alias("kind"), "content").filter("kind is not null")
