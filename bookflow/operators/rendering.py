@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bookflow import rules
@@ -10,14 +10,11 @@ from bookflow.functions import text as T
 from bookflow.operators.lines import joined
 
 
-def section_paragraphs(sections: DataFrame) -> DataFrame:
-    """(book_id, section_no, title, para_no, paragraph) of cleaned sections."""
-    each = sections.select("book_id", "section_no", "title", F.posexplode(F.split("content", "\n")).alias("line_no", "line"))
-    kept = each.filter(~T.is_noise(F.col("line"), rules.SECTION_NOISE)).withColumn("bare", T.strip(F.col("line")))
-    upto = Window.partitionBy("book_id", "section_no").orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    marked = kept.withColumn("island", F.sum((F.col("bare") == "").cast("int")).over(upto))
-    paras = marked.filter("bare <> ''").groupBy("book_id", "section_no", "title", "island").agg(joined("line_no", "bare", " ").alias("paragraph"))
-    return paras.select("book_id", "section_no", "title", F.row_number().over(Window.partitionBy("book_id", "section_no").orderBy("island")).alias("para_no"), "paragraph")
+def paragraphs(content: F.Column, pack: list[str] = rules.SECTION_NOISE) -> F.Column:
+    """array<string>: paragraphs of a text without noise lines, within the row; lines of a paragraph are joined by a blank."""
+    kept = F.filter(F.transform(F.split(content, "\n"), lambda x: T.strip(x)), lambda x: ~T.matches(x, pack))
+    parts = F.transform(F.split(F.array_join(kept, "\n"), "\n{2,}"), lambda p: F.replace(F.btrim(p, F.lit("\n")), F.lit("\n"), F.lit(" ")))
+    return F.filter(parts, lambda p: p != "")
 
 
 def latex_body(sections: DataFrame) -> DataFrame:
@@ -28,12 +25,10 @@ def latex_body(sections: DataFrame) -> DataFrame:
         return F.concat(F.lit("\\chapter*{"), name, F.lit("}\n\\addcontentsline{toc}{chapter}{"), name, F.lit("}\n"))
 
     head = F.when(F.col("title") == "序 文", starred(F.lit("序 文"))).when(F.col("title").isin(rules.STARRED), starred(title)).otherwise(F.concat(F.lit("\\section{"), title, F.lit("}\n")))
-    own = sections.filter(F.col("title") != rules.PREAMBLE)
-    para = F.concat(F.when(F.col("paragraph").rlike(rules.FOOTNOTE), "\\noindent ").otherwise(""), T.escape_latex(F.col("paragraph")), F.lit("\n"))
-    body = section_paragraphs(own).select("book_id", "section_no", "para_no", para.alias("para")).groupBy("book_id", "section_no").agg(joined("para_no", "para", "\n").alias("body"))
-    heads = own.select("book_id", "section_no", head.alias("head"))
-    both = heads.join(body, ["book_id", "section_no"], "left").select("book_id", "section_no", F.concat("head", F.coalesce(F.concat(F.lit("\n"), F.col("body")), F.lit(""))).alias("block"))
-    return both.groupBy("book_id").agg(joined("section_no", "block", "\n").alias("latex"))
+    body = F.transform(paragraphs(F.col("content")), lambda p: F.concat(F.when(p.rlike(rules.FOOTNOTE), "\\noindent ").otherwise(""), T.escape_latex(p), F.lit("\n")))
+    block = F.array_join(F.concat(F.array(head), body), "\n")
+    own = sections.filter(F.col("title") != rules.PREAMBLE).select("book_id", "section_no", block.alias("block"))
+    return own.groupBy("book_id").agg(joined("section_no", "block", "\n").alias("latex"))
 
 
 def latex_document(body: str, title: str, author: str = "") -> str:

@@ -26,26 +26,37 @@ def toc_region(lines: DataFrame) -> DataFrame:
     return hits.groupBy("book_id").agg(F.min(F.struct("line_no", "last_start")).alias("h")).select("book_id", F.col("h.last_start").alias("toc_start"), (F.col("h.line_no") + rules.CONTENTS_TAIL).alias("toc_end"))
 
 
-def section_positions(lines: DataFrame) -> DataFrame:
+def with_region(lines: DataFrame) -> DataFrame:
+    """Adds bare (the stripped line) and in_toc; windows over the book alone, so there is no join and no other shuffle."""
+    bare = T.strip(F.col("line"))
+    marked = lines.withColumn("bare", bare).withColumn("toc_s", F.when(T.matches(F.col("bare"), [rules.CONTENTS_START]), F.col("line_no")))
+    marked = marked.withColumn("toc_s", F.last("toc_s", ignorenulls=True).over(upto()))
+    hit = F.when(T.matches(F.col("bare"), [rules.CONTENTS_END]) & (F.col("toc_s") > 0), F.struct("line_no", "toc_s"))
+    first = F.min(hit).over(Window.partitionBy("book_id"))
+    inside = F.col("line_no").between(F.col("toc_h.toc_s"), F.col("toc_h.line_no") + rules.CONTENTS_TAIL)
+    return marked.withColumn("toc_h", first).withColumn("in_toc", F.coalesce(inside, F.lit(False))).drop("toc_s", "toc_h")
+
+
+def section_positions(lines: DataFrame, titles: list[str] = rules.REPAIR_TITLES) -> DataFrame:
     """(book_id, section_no, title, line_offset): the first line outside the contents that equals each title."""
-    titles = contents(lines.sparkSession).filter(F.size("keywords") > 0).select(F.col("title").alias("bare"))
-    placed = with_offsets(lines).withColumn("bare", T.strip(F.col("line"))).join(F.broadcast(titles), "bare")
-    region = toc_region(lines)
-    outside = placed.join(region, "book_id", "left").filter("toc_start is null or line_no < toc_start or line_no > toc_end")
-    first = outside.groupBy("book_id", F.col("bare").alias("title")).agg(F.min("line_offset").alias("line_offset"))
+    placed = with_region(with_offsets(lines)).filter(F.col("bare").isin(titles) & ~F.col("in_toc"))
+    first = placed.groupBy("book_id", F.col("bare").alias("title")).agg(F.min("line_offset").alias("line_offset"))
     return first.select("book_id", F.row_number().over(Window.partitionBy("book_id").orderBy("line_offset")).alias("section_no"), "title", "line_offset")
 
 
 def section_extents(books: DataFrame, lines: DataFrame) -> DataFrame:
-    """(book_id, section_no, title, content): from each title to the next, stripped; what precedes the first is section 0."""
-    follow = F.lead("line_offset").over(Window.partitionBy("book_id").orderBy("line_offset"))
-    spans = section_positions(lines).withColumn("stop", follow)
-    whole = books.select("book_id", "text")
-    cut = spans.join(whole, "book_id")
-    length = F.coalesce(F.col("stop") - F.col("line_offset"), F.length("text").cast("long"))
-    own = cut.select("book_id", "section_no", "title", T.strip(F.substr("text", (F.col("line_offset") + 1).cast("int"), length.cast("int"))).alias("content"))
-    lead = cut.filter("section_no = 1").select("book_id", F.lit(0).alias("section_no"), F.lit(rules.PREAMBLE).alias("title"), T.strip(F.substr("text", F.lit(1), F.col("line_offset").cast("int"))).alias("content")).filter("content <> ''")
-    return lead.union(own)
+    """(book_id, section_no, title, content): from each title to the next, stripped; what precedes the first is section 0. Both sides of the join are dealt by book already."""
+    at = section_positions(lines).groupBy("book_id").agg(F.array_sort(F.collect_list(F.struct("line_offset", "section_no", "title"))).alias("at"))
+    whole = at.join(books.select("book_id", "text"), "book_id")
+
+    def content(x, i):
+        stop = F.coalesce(F.get("at", i + 1)["line_offset"], F.length("text").cast("long"))
+        return T.strip(F.substr(F.col("text"), (x["line_offset"] + 1).cast("int"), (stop - x["line_offset"]).cast("int")))
+
+    own = F.transform("at", lambda x, i: F.struct(x["section_no"].alias("section_no"), x["title"].alias("title"), content(x, i).alias("content")))
+    front = F.struct(F.lit(0).alias("section_no"), F.lit(rules.PREAMBLE).alias("title"), T.strip(F.substr(F.col("text"), F.lit(1), F.get("at", F.lit(0))["line_offset"].cast("int"))).alias("content"))
+    all_ = F.concat(F.filter(F.array(front), lambda x: x["content"] != ""), own)
+    return whole.select("book_id", F.explode(all_).alias("s")).select("book_id", "s.*")
 
 
 def section_split_lines(lines: DataFrame, titles: list[str] = rules.REPAIR_TITLES) -> DataFrame:
