@@ -4,8 +4,10 @@ import json
 
 import pytest
 from bookflow import flows, rules
+from bookflow.functions import text as T
 from bookflow.operators import model_calls as M, transport as R
 from bookflow.plans import fixtures as X
+from pyspark.sql import functions as F
 
 
 def test_settings():
@@ -64,7 +66,7 @@ def test_report_resumes_without_new_calls(spark, sf, tmp_path):
     for name in ("translation", "summary"):
         a, b = (sorted(map(tuple, r[name].collect())) for r in (first, second))
         assert a == b and a
-    blank = pages.filter("trim(embedded_text) = ''").count()
+    blank = pages.filter(T.source_text(F.col("ocr_text"), F.col("embedded_text")) == "").count()
     assert second["pages"].filter("translation = ''").count() == blank
 
 
