@@ -139,10 +139,10 @@ def given(noise: Column, gender: Column, script: Column, draw: Column) -> Column
     out = F.lit("")
     for (g, s), names in GIVEN.items():
         out = F.when((gender == g) & (script == s), pick(names, number(noise, F.lit(0)))).otherwise(out)
-    # after a few draws second names are joined on, so that any number of names can differ
+    # from the second draw on more names are joined on, so that any number of given names can differ after few draws
     more = F.when(script == "Cyrl", pick(GIVEN["n", "Cyrl"], number(noise, F.lit(1)))).otherwise(pick(GIVEN["n", "Latn"], number(noise, F.lit(1))))
-    tail = F.when(draw > 9, F.concat(F.lit("-"), surname(F.reverse(noise), script, draw))).otherwise(F.lit(""))
-    return F.when(draw > 3, F.concat(out, F.lit("-"), more, tail)).otherwise(out)
+    tail = F.when(draw > 1, F.concat(F.lit("-"), surname(F.reverse(noise), script, draw))).otherwise(F.lit(""))
+    return F.when(draw > 0, F.concat(out, F.lit("-"), more, tail)).otherwise(out)
 
 
 def surrogate(kind: Column, value: Column, draw: Column, key: str) -> Column:
