@@ -3,16 +3,91 @@
 from __future__ import annotations
 
 # Anchored patterns of lines to be dropped, for stripped lines (first pack).
-NOISE_LINES = [
-    r"^ISBN \d", r"^定价[：:]\s*\d", r"^微信扫描", r"^上架建议", r"^9 \d{10,}", r"^新浪微博", r"^微\s*信[：:]", r"^淘宝店铺", r"^本社常年法律顾问", r"^凡有印装质量问题", r"^责任编辑", r"^责任印制", r"^出版发行",
-    r"^地\s+址[：:]", r"^电\s+话[：:]", r"^传\s+真[：:]", r"^经\s+销[：:]", r"^印\s+刷[：:]", r"^开\s+本[：:]", r"^字\s+数[：:]", r"^印\s+张[：:]", r"^版\s+次[：:]", r"^印\s+次[：:]", r"^ICCTP", r"^Central Compilation",
-    r"^著$", r"^译$", r"^陈言\s*译$", r"^柄谷行人\s*著$", r"^中央编译出版社", r"^定本$", r"^柄谷行人文学论集$", r"^柄谷行人$", r"^定价[：:]", r"^图书在版编目", r"^著作权登记号", r"^TEIHON", r"^by Kojin", r"^Originally published",
-    r"^This simplified", r"^by arrangement", r"^责任编辑[：:]", r"^\d+页$", r"^第 \d+ 页$", r"^9 \d{6,}", r"^定本柄谷行人文文学论集 \[存疑\]", r"^作者简介$", r"^译者简介$",
-]
-# Beginnings of running titles after a page number, and running titles before one.
-RUNNING_AFTER = ["定本", "序文", "漱石", "麦克白", "坂口", "梦的", "中上", "文学", "马克思", "柳田", "鲁迅", "芥川", "三岛", "二叶亭", "近代", "翻译", "森鸥外", "亚历山大"]
-RUNNING_BEFORE = ["序文", "漱石试论", "麦克白", "坂口安吾", "梦的世界", "中上健次", "文学的衰灭", "马克思", "柳田国男", "鲁迅", "芥川", "三岛", "二叶亭", "近代文学", "翻译的方法", "森鸥外", "亚历山大"]
-NOISE = [*NOISE_LINES, *(rf"^\d{{3,4}}\s*\|\s*{x}" for x in RUNNING_AFTER), *(rf"^{x} \| \d+$" for x in RUNNING_BEFORE)]
+NOISE = [
+    r"^ISBN \d",
+    r"^定价[：:]\s*\d",
+    r"^微信扫描",
+    r"^上架建议",
+    r"^9 \d{10,}",
+    r"^新浪微博",
+    r"^微\s*信[：:]",
+    r"^淘宝店铺",
+    r"^本社常年法律顾问",
+    r"^凡有印装质量问题",
+    r"^责任编辑",
+    r"^责任印制",
+    r"^出版发行",
+    r"^地\s+址[：:]",
+    r"^电\s+话[：:]",
+    r"^传\s+真[：:]",
+    r"^经\s+销[：:]",
+    r"^印\s+刷[：:]",
+    r"^开\s+本[：:]",
+    r"^字\s+数[：:]",
+    r"^印\s+张[：:]",
+    r"^版\s+次[：:]",
+    r"^印\s+次[：:]",
+    r"^ICCTP",
+    r"^Central Compilation",
+    r"^著$",
+    r"^译$",
+    r"^陈言\s*译$",
+    r"^柄谷行人\s*著$",
+    r"^中央编译出版社",
+    r"^定本$",
+    r"^柄谷行人文学论集$",
+    r"^柄谷行人$",
+    r"^定价[：:]",
+    r"^图书在版编目",
+    r"^著作权登记号",
+    r"^TEIHON",
+    r"^by Kojin",
+    r"^Originally published",
+    r"^This simplified",
+    r"^by arrangement",
+    r"^责任编辑[：:]",
+    r"^\d+页$",
+    r"^第 \d+ 页$",
+    r"^\d{3,4}\s*\|\s*定本",
+    r"^\d{3,4}\s*\|\s*序文",
+    r"^\d{3,4}\s*\|\s*漱石",
+    r"^\d{3,4}\s*\|\s*麦克白",
+    r"^\d{3,4}\s*\|\s*坂口",
+    r"^\d{3,4}\s*\|\s*梦的",
+    r"^\d{3,4}\s*\|\s*中上",
+    r"^\d{3,4}\s*\|\s*文学",
+    r"^\d{3,4}\s*\|\s*马克思",
+    r"^\d{3,4}\s*\|\s*柳田",
+    r"^\d{3,4}\s*\|\s*鲁迅",
+    r"^\d{3,4}\s*\|\s*芥川",
+    r"^\d{3,4}\s*\|\s*三岛",
+    r"^\d{3,4}\s*\|\s*二叶亭",
+    r"^\d{3,4}\s*\|\s*近代",
+    r"^\d{3,4}\s*\|\s*翻译",
+    r"^\d{3,4}\s*\|\s*森鸥外",
+    r"^\d{3,4}\s*\|\s*亚历山大",
+    r"^9 \d{6,}",
+    r"^定本柄谷行人文文学论集 \[存疑\]",
+    r"^作者简介$",
+    r"^译者简介$",
+    r"^序文 \| \d+$",
+    r"^漱石试论 \| \d+$",
+    r"^麦克白 \| \d+$",
+    r"^坂口安吾 \| \d+$",
+    r"^梦的世界 \| \d+$",
+    r"^中上健次 \| \d+$",
+    r"^文学的衰灭 \| \d+$",
+    r"^马克思 \| \d+$",
+    r"^柳田国男 \| \d+$",
+    r"^鲁迅 \| \d+$",
+    r"^芥川 \| \d+$",
+    r"^三岛 \| \d+$",
+    r"^二叶亭 \| \d+$",
+    r"^近代文学 \| \d+$",
+    r"^翻译的方法 \| \d+$",
+    r"^森鸥外 \| \d+$",
+    r"^亚历山大 \| \d+$",
+]
 
 # The second pack, used when sections are cleaned.
 SECTION_NOISE = [
