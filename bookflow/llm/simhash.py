@@ -218,6 +218,11 @@ def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """One row of each component: that with the smallest id (and text hash); of equal rows one. All columns are kept."""
     first = F.min(F.struct(F.col(id_col).isNull(), F.col(id_col).alias("near_id"), F.col("text_key").alias("near_key"))).alias("s")
     best = written(near_duplicates(df, id_col, text_col).groupBy("group").agg(first).select("s.near_id", "s.near_key"), "kept")
+    return keep_firsts(df, best, id_col, text_col)
+
+
+def keep_firsts(df: DataFrame, best: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of df named by (near_id, near_key), id and text hash; of equal rows one."""
     # rows to the same place by id and text hash; equal rows then meet without another shuffle
     joined = df.withColumn("near_text", F.xxhash64(F.col(text_col).cast("string"))).join(best, (F.col(id_col).cast("long").eqNullSafe(F.col("near_id"))) & (F.col("near_text") == F.col("near_key")))
     return joined.dropDuplicates(["near_id", "near_key"]).select(*df.columns)

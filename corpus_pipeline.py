@@ -3,8 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and returns a table with the columns of documents; the last returns token ids.
 run() writes every stage's result to the shared folder and reads it back as the next one's docs.
 
-Defined results: null and empty texts go through like others (scored as a text without words, one of all texts with
-fingerprint 0 and of those linked to it stays, no tokens); rows without doc_id are kept where their group has no other;
+Defined results: null and empty texts go through like others (scored as a text without words, one of all texts
+without words stays, no tokens); rows without doc_id are kept where their group has no other;
 empty tables give an empty result; other columns are carried along up to the last stage.
 """
 
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bookflow.llm import bpe, decontaminate, pii, quality, simhash
+from bookflow.llm import bpe, decontaminate, pii, quality, shingles
 from bookflow.llm.common import table, written
 
 
@@ -23,8 +23,8 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (operator 2) stays."""
-    return simhash.deduplicate(docs)
+    """One document of each group of near-duplicates (Jaccard 0.8 of five-word shingles) stays."""
+    return shingles.deduplicate(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
