@@ -35,7 +35,7 @@ PERSON = rf"(?<![\p{{L}}])(?:{'|'.join(t for ts in TITLES.values() for t in ts)}
 #: Kind and pattern, the first that fits wins.
 KINDS = [
     ("email", r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@(?:[\p{L}\p{N}-]{1,63}\.){1,8}\p{L}{2,24}(?![\p{L}\p{N}])"),
-    ("secret", r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9_-]{20,100}|[0-9a-f]{32,128})(?![A-Za-z0-9])"),
+    ("secret", r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9_-]{20,100}|[0-9A-Fa-f]{32,128})(?![A-Za-z0-9])"),
     ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
     ("ip", r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9]|\.[0-9])"),
     ("card", r"(?<![0-9])(?:[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}|3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5})(?![0-9])"),
@@ -86,7 +86,9 @@ def one_char(c: Column, x: Column, hexadecimal: Column) -> Column:
     out = c
     for pattern, letters in reversed(alphabets):
         out = F.when(c.rlike(f"^{pattern}$"), F.substr(F.lit(letters), x % len(letters) + 1, F.lit(1))).otherwise(out)
-    return F.when(hexadecimal & c.rlike("^[0-9a-f]$"), F.substr(F.lit("0123456789abcdef"), x % 16 + 1, F.lit(1))).otherwise(out)
+    for letters in ("abcdef", "ABCDEF"):
+        out = F.when(hexadecimal & c.rlike(f"^[{letters}]$"), F.substr(F.lit(letters), x % 6 + 1, F.lit(1))).otherwise(out)
+    return out
 
 
 def reshaped(value: Column, noise: Column, keep: Column, hexadecimal: Column | None = None) -> Column:
@@ -150,7 +152,7 @@ def surrogate(kind: Column, value: Column, draw: Column, key: str) -> Column:
     noise, parts = drawn(key, kind, value, draw.cast("string")), F.split(kind, ":")
     return (
         F.when(kind == "email", email(value, noise))
-        .when(kind == "secret", reshaped(value, noise, F.when(value.rlike("^(AKIA|gh)"), 4).when(value.startswith("sk-"), 3).otherwise(0), ~value.rlike("[^0-9a-f]")))
+        .when(kind == "secret", reshaped(value, noise, F.when(value.rlike("^(AKIA|gh)"), 4).when(value.startswith("sk-"), 3).otherwise(0), ~value.rlike("[^0-9A-Fa-f]")))
         .when(kind == "iban", reshaped(value, noise, F.lit(2)))
         .when(kind == "ip", ip(value, noise))
         .when(kind == "card", card(value, noise))

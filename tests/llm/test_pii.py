@@ -73,6 +73,18 @@ def test_whole_table(spark):
     assert found > 50
 
 
+def test_hex_secrets_of_any_case(spark):
+    values = ["9233A8ECF7C5B09FE5949719B6B82BC439E9329B", "9233a8ecf7c5b09fe5949719b6b82bc439e9329b", "9233a8ECF7c5B09fe5949719b6B82bc4"]
+    got, kinds = replaced(spark, [f'TOKEN = "{v}" here' for v in values])
+    for i, v in enumerate(values):
+        new = re.search('"(.*)"', got[i])[1]
+        assert new != v and shape(new) == shape(v) and re.fullmatch("[0-9A-Fa-f]+", new) and kinds[i] == ["secret"]
+    docs = pd.read_parquet(f"{SF}/documents.parquet")
+    found = {i: x for i, t in zip(docs.doc_id, docs.text) if (x := re.findall(r"\b[0-9A-Fa-f]{40}\b", t))}
+    out = {r.doc_id: r.text for r in pii.op3(spark, SF).collect()}
+    assert found and not any(x in out[i] for i, xs in found.items() for x in xs)
+
+
 def test_odd_rows(spark, tmp_path):
     texts = [None, "", "x@y.com", "x@y.com", "word " * 40_000 + "x@y.com", "1.1.1.1" + " 8.8.8.8" * 2000]
     df = documents(spark, [*enumerate(texts), (None, "x@y.com"), (None, "8.8.8.8"), (2, "x@y.com"), (2, "x@y.com or 8.8.8.8")], extra=True)
