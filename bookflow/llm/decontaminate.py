@@ -62,8 +62,8 @@ def best_stretch(equal: Column) -> Column:
     return F.aggregate(equal, start, step)
 
 
-def overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
-    """(id, item, score, matched, first_word, last_word): the best stretch of each item in each text that has one."""
+def stretches(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_col: str) -> DataFrame:
+    """(doc, text_key, item, s): the best stretch of each diagonal that has one; s orders stretches."""
     texts = docs.select(F.col(id_col).alias("doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).withColumn("text_key", F.xxhash64("text"))
     known = items.select(F.col(item_col).alias("item"), words_of(F.col(text_col).cast("string")).alias("item_words")).withColumn("item_key", F.xxhash64("item", "item_words")).dropDuplicates(["item", "item_key"])
     known = written(known.filter(F.size("item_words") >= SPAN), "items")
@@ -76,24 +76,30 @@ def overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col
     by_text = written(met.groupBy("doc", "text_key").agg(F.collect_list(F.struct("item_key", "item_n", "diagonal")).alias("met")), "hits")
 
     same = texts["doc"].eqNullSafe(by_text["doc"]) & (texts["text_key"] == by_text["text_key"])
-    rows = texts.join(by_text, same).select(texts["doc"], words_of(texts["text"]).alias("words"), F.explode("met").alias("met"))
+    rows = texts.join(by_text, same).select(texts["doc"], texts["text_key"], words_of(texts["text"]).alias("words"), F.explode("met").alias("met"))
     begin = F.greatest(F.col("met.diagonal"), F.lit(0))
-    aligned = rows.select("doc", "met.item_key", "met.diagonal", F.slice("words", begin + 1, F.least(F.size("words"), F.col("met.diagonal") + F.col("met.item_n")) - begin).alias("part"))
+    aligned = rows.select("doc", "text_key", "met.item_key", "met.diagonal", F.slice("words", begin + 1, F.least(F.size("words"), F.col("met.diagonal") + F.col("met.item_n")) - begin).alias("part"))
     compared = aligned.join(bounded(known), "item_key").select(
-        "doc", "item", "diagonal", F.zip_with("part", F.slice("item_words", F.greatest(-F.col("diagonal"), F.lit(0)) + 1, F.size("part")), lambda a, b: a == b).alias("equal")
+        "doc", "text_key", "item", "diagonal", F.zip_with("part", F.slice("item_words", F.greatest(-F.col("diagonal"), F.lit(0)) + 1, F.size("part")), lambda a, b: a == b).alias("equal")
     )
     scored = compared.withColumn("s", best_stretch(F.col("equal"))).filter(F.col("s.best") >= LEAST)
     matched = F.size(F.filter(F.slice("equal", F.col("s.first") + 1, F.col("s.last") - F.col("s.first") + 1), lambda same: same))
     shift = F.greatest(F.col("diagonal"), F.lit(0))
-    found = scored.select("doc", "item", F.struct(F.col("s.best").alias("score"), (-(F.col("s.first") + shift)).alias("early"), (F.col("s.last") + shift).alias("last"), matched.alias("matched")).alias("s"))
-    best = found.groupBy("doc", "item").agg(F.max("s").alias("s"))
+    return scored.select("doc", "text_key", "item", F.struct(F.col("s.best").alias("score"), (-(F.col("s.first") + shift)).alias("early"), (F.col("s.last") + shift).alias("last"), matched.alias("matched")).alias("s"))
+
+
+def overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
+    """(id, item, score, matched, first_word, last_word): the best stretch of each item in each text that has one."""
+    best = stretches(docs, items, id_col, text_col, item_col).groupBy("doc", "item").agg(F.max("s").alias("s"))
     return best.select(F.col("doc").alias(id_col), F.col("item").alias(item_col), F.col("s.score").alias("score"), F.col("s.matched").alias("matched"), (-F.col("s.early")).alias("first_word"), F.col("s.last").alias("last_word"))
 
 
-def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of docs that hold no stretch of an item."""
-    bad = written(overlaps(docs, items, id_col).select(F.col(id_col).alias("bad_id")).distinct(), "contaminated")
-    return docs.join(bad, docs[id_col].eqNullSafe(bad["bad_id"]), "left_anti")
+def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs that hold no stretch of an item; rows of one id (or of none) are told apart by their texts."""
+    found = stretches(docs, items, id_col, text_col, "item_id")
+    bad = written(found.select(F.col("doc").alias("bad_id"), F.col("text_key").alias("bad_key")).distinct(), "contaminated")
+    key = F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit("")))
+    return docs.join(bad, docs[id_col].eqNullSafe(bad["bad_id"]) & (key == bad["bad_key"]), "left_anti")
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -65,6 +65,13 @@ def test_against_all_pairs(spark, tmp_path, monkeypatch, bound):
     assert kept == {d for d, _ in docs} - {d for d, _ in got}
 
 
+def test_clean_keeps_other_texts_of_an_id(spark):
+    item = " ".join(f"x{i}" for i in range(20))
+    docs = [(1, f"a {item} b"), (1, "clean words"), (None, item), (None, "no id"), (2, None)]
+    kept = decontaminate.clean(documents(spark, docs), spark.createDataFrame([(1, item)], ITEMS)).collect()
+    assert sorted(map(repr, ((r.doc_id, r.text) for r in kept))) == sorted(map(repr, [docs[1], docs[3], docs[4]]))
+
+
 def test_spans_and_matches(spark, tmp_path):
     sf = as_dir(documents(spark, ["a b c d " + " ".join(f"x{i}" for i in range(20)) + " e f"]), tmp_path)
     as_dir(spark.createDataFrame([(1, " ".join(f"x{i}" if i != 7 else "other" for i in range(20)))], ITEMS), tmp_path, "benchmark")
