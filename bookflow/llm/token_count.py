@@ -3,14 +3,19 @@
 The pre-tokens of a batch that are new are held as one ragged array of symbols. In each round the lowest-rank pair of
 every sequence is found and all its places in that sequence are merged at the same time; a sequence without a known
 pair is finished. The count is the number of symbols that survive. Counts of pre-tokens are kept in a bounded cache.
+A sequence of more than LONG symbols keeps its places by rank, so that a round touches only the places that it merges
+and their neighbours: all rounds together take about linear time.
 
 Defined results: null and empty texts have 0 bytes and 0 tokens; a special string inside a text is one token, as the
 library's default has it; repeated rows give repeated rows; an empty table gives no rows; other columns are ignored.
+Very long texts are handled in segments that end where a pre-token ends.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -21,9 +26,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import pretoken
-from .common import pieces, table
+from .common import blocks, pieces, table
 
-CACHE_ENTRIES, CACHE_CHARS = 300_000, 48
+CACHE_ENTRIES, CACHE_CHARS = 200_000, 48
+#: Symbols of the longest sequence that is merged together with others.
+LONG = 512
 
 
 @lru_cache(1)
@@ -47,22 +54,77 @@ class Counter(dict):
         keys = np.array([vocab[a] * self.width + vocab[b] for a, b in pairs], np.int64)
         made = np.array([vocab[a + b] for a, b in pairs], np.int64)
         order = np.argsort(keys, kind="stable")
-        self.keys, self.rank, self.made = keys[order], order.astype(np.int64), made[order]
+        self.pairs, self.rank, self.made = keys[order], order.astype(np.int64), made[order]
         self.of_byte = np.array([vocab[c] for c in byte_symbols()], np.int64)
         self.special = [t["content"] for t in spec["added_tokens"] if not t["normalized"]]
 
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Places of the pairs in the sorted table of pairs, or the table's length where a pair isn't known."""
+        key = left * self.width + right
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == key, at, len(self.pairs))
+
+    def count_long(self, raw: bytes) -> int:
+        """Number of tokens of one long pre-token."""
+        symbol = self.of_byte[np.frombuffer(raw, np.uint8)]
+        n, none = len(symbol), len(self.pairs)
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        pair = np.append(self.ranks(symbol[:-1], symbol[1:]), none)  # the pair that starts at each place; none at dead ones
+        waiting: dict[int, list[np.ndarray]] = {}
+        heap: list[tuple[int, int]] = []
+
+        def put(places: np.ndarray) -> None:
+            places = places[pair[places] < none]
+            places = places[np.argsort(pair[places], kind="stable")]
+            for part in np.split(places, np.flatnonzero(np.diff(pair[places])) + 1) if len(places) else []:
+                k = int(pair[part[0]])
+                if k not in waiting:
+                    heapq.heappush(heap, (int(self.rank[k]), k))
+                waiting.setdefault(k, []).append(part)
+
+        put(np.arange(n))
+        gone = 0
+        while heap:
+            _, k = heapq.heappop(heap)
+            hit = np.unique(np.concatenate(waiting.pop(k)))
+            hit = hit[pair[hit] == k]
+            if not len(hit):
+                continue
+            run = np.flatnonzero(np.append(True, after[hit[:-1]] != hit[1:]))  # in a run of overlapping places each second one merges
+            hit = hit[(np.arange(len(hit)) - np.repeat(run, np.diff(np.append(run, len(hit))))) % 2 == 0]
+            right = after[hit]
+            symbol[hit], pair[right], after[hit] = self.made[k], none, after[right]
+            follows = after[hit] < n
+            before[after[hit][follows]] = hit[follows]
+            gone += len(hit)
+            near = before[hit]
+            changed = np.unique(np.concatenate([hit, near[near >= 0]]))
+            ends = after[changed] >= n
+            pair[changed] = np.where(ends, none, self.ranks(symbol[changed], symbol[np.where(ends, 0, after[changed])]))
+            put(changed)
+        return n - gone
+
     def count_new(self, found: list[str]) -> np.ndarray:
         """Numbers of tokens of distinct pre-tokens, by rounds of simultaneous merges."""
         raw = [t.encode() for t in found]
+        long = [i for i, r in enumerate(raw) if len(r) > LONG]
+        apart = [self.count_long(raw[i]) for i in long]
+        for i in long:
+            raw[i] = b""
+        counts = self.count_together(raw) if any(raw) else np.zeros(len(raw), np.int64)
+        counts[long] = apart
+        return counts
+
+    def count_together(self, raw: list[bytes]) -> np.ndarray:
         sizes = np.fromiter(map(len, raw), np.int64, len(raw))
         symbol = self.of_byte[np.frombuffer(b"".join(raw), np.uint8)]
         owner = np.repeat(np.arange(len(raw)), sizes)
         counts = sizes.copy()
-        none = len(self.keys)
+        none = len(self.pairs)
         while len(symbol) > 1:
             key = symbol[:-1] * self.width + symbol[1:]
-            at = np.minimum(np.searchsorted(self.keys, key), none - 1)
-            rank = np.where((self.keys[at] == key) & (owner[:-1] == owner[1:]), self.rank[at], none)
+            at = np.minimum(np.searchsorted(self.pairs, key), none - 1)
+            rank = np.where((self.pairs[at] == key) & (owner[:-1] == owner[1:]), self.rank[at], none)
             firsts = np.flatnonzero(np.diff(owner, prepend=-1))
             lowest = np.minimum.reduceat(np.append(rank, none), firsts)
             open_ = lowest < none
@@ -81,7 +143,7 @@ class Counter(dict):
         return counts
 
     def counts(self, found: list[str]) -> np.ndarray:
-        new = [*(set(found) - self.keys_view())]
+        new = [*(set(found) - self.keys())]
         if new:
             if len(self) + len(new) > CACHE_ENTRIES:
                 self.clear()
@@ -93,9 +155,6 @@ class Counter(dict):
                 del self[t]
         return out
 
-    def keys_view(self):
-        return dict.keys(self)
-
 
 @lru_cache(2)
 def counter(path: str) -> Counter:
@@ -103,27 +162,24 @@ def counter(path: str) -> Counter:
 
 
 def split_special(text: str, special: list[str]) -> tuple[list[str], int]:
-    """Parts between special strings, and how many of these there are; the leftmost, then the first listed, wins."""
-    parts, n = [text], 0
-    for s in special:
-        cut = [p.split(s) for p in parts]
-        n += sum(len(x) - 1 for x in cut)
-        parts = [y for x in cut for y in x]
-    return parts, n
+    """Parts between special strings, and how many of these there are; the leftmost, then the longest, wins."""
+    parts = re.split("|".join(map(re.escape, sorted(special, key=len, reverse=True))), text)
+    return parts, len(parts) - 1
 
 
 def count_texts(texts: list[str], path: str) -> np.ndarray:
     c = counter(path)
-    extra = np.zeros(len(texts), np.int64)
+    total = np.zeros(len(texts), np.int64)
     flat, owner = texts, np.arange(len(texts))
-    if any(s in t for s in c.special for t in texts):
+    if c.special and any(s in t for s in c.special for t in texts):
         cut = [split_special(t, c.special) for t in texts]
-        extra = np.array([n for _, n in cut], np.int64)
+        total += np.array([n for _, n in cut], np.int64)
         flat, owner = [p for x, _ in cut for p in x], np.repeat(owner, [len(x) for x, _ in cut])
-    found, per_text = pretoken.tokens(flat)
-    by_token = c.counts(found) if found else np.zeros(0, np.int64)
-    owners = np.repeat(owner, per_text)
-    return extra + np.bincount(owners, by_token, minlength=len(texts)).astype(np.int64)
+    for owners, parts in blocks(flat):
+        found, per_part = pretoken.tokens(parts)
+        if found:
+            total += np.bincount(np.repeat(owner[owners], per_part), c.counts(found), minlength=len(texts)).astype(np.int64)
+    return total
 
 
 def count(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:

@@ -1,12 +1,14 @@
 import hashlib
 import random
+import time
 
+import pandas as pd
 import public_tokenizers
 import regex
 import tiktoken
 from tokenizers import Tokenizer
 
-from bookflow.llm import bpe, pretoken, token_count
+from bookflow.llm import bpe, common, pretoken, token_count
 
 from .helpers import as_dir, documents
 
@@ -68,8 +70,42 @@ def test_empty_table(spark, tmp_path):
 
 
 def test_whole_table(spark, sf):
-    import pandas as pd
+    docs, enc, tok = pd.read_parquet(f"{sf}/documents.parquet"), reference(), Tokenizer.from_file(JSON)
+    texts = [t or "" for t in docs.text]
+    want = {(i, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(t.encode()).hexdigest()) for i, t, ids in zip(docs.doc_id, texts, enc.encode_ordinary_batch(texts))}
+    assert {tuple(r) for r in bpe.op1(spark, sf).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect()} == want
+    counts = {(i, len(t.encode()), len(e.ids), len(e.ids) > 1024) for i, t, e in zip(docs.doc_id, texts, tok.encode_batch(texts, add_special_tokens=False))}
+    assert {tuple(r) for r in token_count.op8(spark, sf).collect()} == counts
+
+
+def test_encode_and_decode_tables(spark):
+    rows = [None, "", "some words here", "x" * 3000, "é 中 😀"]
+    found = bpe.encode(documents(spark, rows), verify=True)
+    back = {r.doc_id: (bytes(r.decoded), r.decoded_sha256) for r in bpe.decode(found, ["doc_id", "decoded_sha256"]).collect()}
+    assert back == {i: ((t or "").encode(), hashlib.sha256((t or "").encode()).hexdigest()) for i, t in enumerate(rows)}
+
+
+def test_segments_change_nothing(monkeypatch):
+    sample, enc, tok = texts(400), reference(), Tokenizer.from_file(JSON)
+    for t in sample:
+        parts = [*common.segments(t, 5)]
+        assert "".join(parts) == t and all(not p[:1].strip(" \n") for p in parts[1:])
+    monkeypatch.setattr(common.blocks, "__defaults__", (23,))
+    ids, _, counts = bpe.encode_texts(sample, bpe.vocabulary_path())
+    assert ids.tolist() == [i for t in sample for i in enc.encode_ordinary(t)] and counts.sum() == len(ids)
+    n, of_ids, of_bytes = bpe.digests_of(sample, bpe.vocabulary_path())
+    assert of_bytes == [hashlib.sha256(t.encode()).hexdigest() for t in sample] and n == counts.tolist()
+    assert of_ids == [hashlib.sha256(" ".join(map(str, enc.encode_ordinary(t))).encode()).hexdigest() for t in sample]
+    assert token_count.count_texts(sample, JSON).tolist() == [len(tok.encode(t, add_special_tokens=False).ids) for t in sample]
+
+
+def test_long_runs_take_linear_time():
+    rnd, tok = random.Random(3), Tokenizer.from_file(JSON)
+    run = "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=200_000))
+    begun = time.time()
+    assert token_count.count_texts([run, "é" * 5000], JSON).tolist() == [len(tok.encode(t).ids) for t in (run, "é" * 5000)]
+    assert time.time() - begun < 5
+
 
-    docs, enc = pd.read_parquet(f"{sf}/documents.parquet"), reference()
-    got = {r.doc_id: r.n_tokens for r in bpe.op1(spark, sf).collect()}
-    assert got == {i: len(enc.encode_ordinary(t)) for i, t in zip(docs.doc_id, docs.text)}
+def test_the_longest_of_overlapping_special_strings_wins():
+    assert token_count.split_special("a<x>b<x><y>c", ["<x>", "<x><y>"]) == (["a", "b", "c"], 2)
