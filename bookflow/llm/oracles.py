@@ -50,16 +50,15 @@ def decontamination() -> str:
     def words(x: str) -> str:
         return f"[w for w in regexp_split_to_array(lower(coalesce({x}, '')), '[^\\p{{L}}\\p{{N}}]+') if w <> '']"
 
-    def seeds(source: str, key: str) -> str:
-        return " UNION ALL ".join(f"SELECT {key}, i AS place, concat_ws(chr(31), '{k}', {', '.join(f'w[i + {o + 1}]' for o in mask)}) AS seed FROM (SELECT *, unnest(range(0, len(w) - {D.SPAN} + 1)) AS i FROM {source}) s" for k, mask in enumerate(D.MASKS))
-
+    # no masks here: every diagonal with enough equal words is compared
     return f"""
-WITH t AS (SELECT DISTINCT doc_id, {words('text')} AS w FROM documents), b AS (SELECT DISTINCT item_id, {words('text')} AS w FROM benchmark), tk AS (SELECT *, row_number() OVER () AS tid FROM t), bk AS (SELECT *, row_number() OVER () AS bid FROM b),
-met AS (SELECT DISTINCT tid, bid, x.place - y.place AS g FROM ({seeds('tk', 'tid')}) x JOIN ({seeds('bk', 'bid')}) y ON x.seed = y.seed),
-cells AS (SELECT tid, bid, g, doc_id, item_id, unnest(range(greatest(g, 0), least(len(tk.w), g + len(bk.w)))) AS j, tk.w AS tw, bk.w AS bw FROM met JOIN tk USING (tid) JOIN bk USING (bid)),
+WITH t AS (SELECT DISTINCT doc_id, {words('text')} AS w FROM documents), b AS (SELECT DISTINCT item_id, {words('text')} AS w FROM benchmark), tk AS (SELECT *, row_number() OVER () AS tid FROM t), bk AS (SELECT *, row_number() OVER () AS bid FROM b WHERE len(w) > 0),
+tw AS (SELECT tid, unnest(w) AS x, unnest(range(len(w))) AS i FROM tk), bw AS (SELECT bid, len(w) AS n, unnest(w) AS x, unnest(range(len(w))) AS k FROM bk),
+met AS (SELECT tid, bid, i - k AS g FROM tw JOIN bw USING (x) GROUP BY tid, bid, g HAVING count(*) >= least({D.LEAST}, any_value(n))),
+cells AS (SELECT tid, bid, g, doc_id, item_id, unnest(range(greatest(g, 0), least(len(tk.w), g + len(bk.w)))) AS j, tk.w AS tw, bk.w AS bw, len(tk.w) AS text_n, len(bk.w) AS item_n FROM met JOIN tk USING (tid) JOIN bk USING (bid)),
 steps AS (SELECT * EXCLUDE (tw, bw), tw[j + 1] = bw[j - g + 1] AS same, sum(CASE WHEN tw[j + 1] = bw[j - g + 1] THEN 1 ELSE -1 END) OVER w AS p FROM cells WINDOW w AS (PARTITION BY tid, bid, g ORDER BY j)),
 runs AS (SELECT *, p - least(min(p) OVER w, 0) AS run, sum(CAST(same AS INT)) OVER w AS hits FROM steps WINDOW w AS (PARTITION BY tid, bid, g ORDER BY j)),
 begun AS (SELECT *, coalesce(max(CASE WHEN run = 0 THEN j END) OVER w, min(j) OVER w - 1) + 1 AS first_word, hits - coalesce(max(CASE WHEN run = 0 THEN hits END) OVER w, 0) AS matched FROM runs WINDOW w AS (PARTITION BY tid, bid, g ORDER BY j)),
 best AS (SELECT *, row_number() OVER (PARTITION BY tid, bid, g ORDER BY run DESC, j) AS nth FROM begun),
-found AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY run DESC, first_word, j DESC, matched DESC) AS n FROM best WHERE nth = 1 AND run >= {D.LEAST})
+found AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY run DESC, first_word, j DESC, matched DESC) AS n FROM best WHERE nth = 1 AND run >= least({D.LEAST}, item_n) AND (item_n >= {D.SHORT} OR item_n = text_n))
 SELECT doc_id, item_id, CAST(run AS INT) AS score, CAST(matched AS INT) AS matched, CAST(first_word AS INT) AS first_word, CAST(j AS INT) AS last_word FROM found WHERE n = 1"""
