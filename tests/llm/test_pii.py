@@ -1,7 +1,9 @@
 import re
+import unicodedata
 
 import pandas as pd
 import pytest
+import regex
 
 from bookflow.llm import pii
 
@@ -44,14 +46,76 @@ def test_formats_and_coreference(spark):
     assert replaced(spark, [one, two])[0] == got and replaced(spark, [one, two], key="other")[0] != got
 
 
-def test_distinctness_in_a_narrow_space(spark):
-    ips = [f"10.0.{i // 250}.{i % 250}" for i in range(1500)]
-    got, _ = replaced(spark, [f"from {x} and" for x in ips])
-    new = [re.search(r"from (\S+) and", got[i])[1] for i in range(len(ips))]
-    assert len(set(new)) == len(ips) and not set(new) & set(ips) and all(x.startswith("10.") for x in new)
+def test_a_space_that_is_nearly_used_up(spark):
+    """40,000 of the 65,536 addresses of a private range: more than half of the space."""
+    ips = [f"192.168.{i // 256}.{i % 256}" for i in range(40_000)]
+    got, _ = replaced(spark, [" ".join(ips[i : i + 500]) for i in range(0, len(ips), 500)])
+    new = [x for i in range(len(got)) for x in got[i].split()]
+    assert len(set(new)) == len(ips) and all(a != b and b.startswith("192.168.") for a, b in zip(ips, new))
+
+
+def test_spaces_that_are_used_up(spark):
+    phones = [f"+{i:04d}" for i in range(10_000)]
+    got, _ = replaced(spark, [f"a@{c}.com b@{c}.com" for c in "abcdefghijklmnopqrstuvwxyz"] + [" ".join(phones)])
+    mails = [m for i in range(26) for m in got[i].split()]
+    assert len(set(mails)) == 52 and not any(m in (f"a@{c}.com", f"b@{c}.com") for i, c in enumerate("abcdefghijklmnopqrstuvwxyz") for m in got[i].split())
     given = [f"Mr. {chr(65 + i // 26)}{chr(97 + i % 26)}x Jonesy" for i in range(200)]
     got, _ = replaced(spark, given)
-    assert len({*got.values()}) == 200
+    assert len({*got.values()}) == 200 and len({t.split()[-1] for t in got.values()}) == 1
+
+
+SCRIPTS = ["用户@例子.公司", "łżść@mail.pl", "ёжик@почта.рф", "χρήστης@δοκιμή.gr", "משתמש@דוגמה.com", "مستخدم@مثال.com", "ユーザー@テスト.jp", "사용자@예시.kr", "ÀÉÎ@ÖÜ.fr"]
+
+
+def script(c):
+    return unicodedata.name(c, "").split(" ")[0] if c.isalpha() else "digit" if c.isdigit() else c
+
+
+def test_all_scripts(spark):
+    got, kinds = replaced(spark, [f"see {x} now" for x in SCRIPTS])
+    for i, x in enumerate(SCRIPTS):
+        new = got[i][4:-4]
+        local, domain = x.split("@")
+        assert kinds[i] == ["email"] and len(new) == len(x) and new.split("@")[0] != local and new.split("@")[1].split(".")[0] != domain.split(".")[0]
+        assert [script(c) for c in new] == [script(c) for c in x], (x, new)
+
+
+def test_chains_of_titles_and_names(spark):
+    text = "Prof. Dr. Anna Schmidt, Dr. Martin Luther King; Mrs. J. Smith and Mr. SMITH met Mr. Jan van der Berg and Mrs. Smith. Dr. Παπαδόπουλος left. Frau Müller-Lüdenscheidt (Mr. O'Neil)"
+    got, kinds = replaced(spark, [text])
+    new = got[0]
+    assert kinds[0] == ["person"] and not re.search("Anna|Schmidt|Martin|Luther|King|J\\. |[Ss]mith|SMITH|Jan|Berg|Παπαδόπουλος|Müller|Neil", new)
+    m = re.fullmatch(r"Prof\. Dr\. (\S+) (\w+), Dr\. (\S+) (\S+) (\w+); Mrs\. ([A-Z])\. (\w+) and Mr\. ([A-Z]+) met Mr\. (\S+) van der (\w+) and Mrs\. (\w+)\. Dr\. (\w+) left\. Frau (\w+) \(Mr\. (\w+)\)", new)
+    assert m and m[7].upper() == m[8] == m[11].upper() and all(script(c) == "GREEK" for c in m[12])
+
+
+def test_secrets_without_letters_stay(spark):
+    texts = ["sk--------------------------------", "---@b.com"]
+    got, _ = replaced(spark, texts)
+    assert got[0] == texts[0] and got[1] != texts[1]
+
+
+def test_check_digits(spark):
+    def mod_97(x):
+        x = x.replace(" ", "")
+        return int("".join(str(int(c, 36)) for c in x[4:] + x[:4])) % 97
+
+    got, _ = replaced(spark, ["DE89 3704 0044 0532 0130 00", "GB29NWBK60161331926819", "DE11 3704 0044 0532 0130 00"])
+    assert mod_97(got[0]) == mod_97(got[1]) == 1 and got[0][:2] == "DE" and got[1][:2] == "GB" and mod_97(got[2]) != 1
+
+
+def test_clashing_columns(spark):
+    df = documents(spark, ["mail x@y.com", "none"]).selectExpr("*", "'a' pii_found", "'b' pii_key", "'c' PII_MAP", "'d' kind", "'e' raw")
+    once = pii.replace(df)
+    assert once.columns == [*df.columns, "pii_kinds"] and {(r.pii_found, r.pii_key, r.PII_MAP, r.kind, r.raw) for r in once.collect()} == {("a", "b", "c", "d", "e")}
+    again = pii.replace(once)
+    assert again.columns == once.columns and again.count() == 2
+
+
+def test_frequent_entities(spark, monkeypatch):
+    monkeypatch.setattr(pii, "FREQUENT", 5)
+    got, _ = replaced(spark, [f"x@y.com and u{i}@y.com" for i in range(60)])
+    assert len({t.split()[0] for t in got.values()}) == 1 and len({t.split()[2] for t in got.values()}) == 60
 
 
 def test_clean_texts_stay(spark):
@@ -85,6 +149,19 @@ def test_hex_secrets_of_any_case(spark):
     assert found and not any(x in out[i] for i, xs in found.items() for x in xs)
 
 
+def test_whole_table_is_distinct_and_coreferent(spark):
+    """Every entity of the table, found again by the pattern, against its surrogate: one to one, in all texts."""
+    pattern = regex.compile(pii.ENTITY)
+    docs = pd.read_parquet(f"{SF}/documents.parquet")
+    out = {r.doc_id: r.text for r in pii.op3(spark, SF).collect()}
+    there, back = {}, {}
+    for i, t in zip(docs.doc_id, docs.text):
+        assert pattern.split(t) == pattern.split(out[i])
+        for a, b in zip(map(str.lower, pattern.findall(t)), map(str.lower, pattern.findall(out[i])), strict=True):
+            assert there.setdefault(a, b) == b and back.setdefault(b, a) == a and a != b
+    assert len(there) > 60 and not set(there) & set(back)
+
+
 def test_odd_rows(spark, tmp_path):
     texts = [None, "", "x@y.com", "x@y.com", "word " * 40_000 + "x@y.com", "1.1.1.1" + " 8.8.8.8" * 2000]
     df = documents(spark, [*enumerate(texts), (None, "x@y.com"), (None, "8.8.8.8"), (2, "x@y.com"), (2, "x@y.com or 8.8.8.8")], extra=True)
