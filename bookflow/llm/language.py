@@ -3,12 +3,14 @@
 Each language has a codeword of +1 and -1. One binary linear classifier for each bit, over hashed character n-grams of
 the whole text, predicts that bit. Decoding adds up the logistic losses against each codeword, weighted by how well the
 bit's classifier did in training, and takes the nearest codeword; a small lead over the second flags the row as
-ambiguous. The classifiers are fitted on a bounded sample: about PER_LANGUAGE rows of each of the LANGUAGES most
-frequent languages.
+ambiguous. The classifiers are fitted on a bounded sample of all languages: about PER_LANGUAGE rows of each, fewer if
+that were over SAMPLE rows in all, but at least 20. The executors turn the sample into n-gram shares; only these vectors
+(BUCKETS numbers a row) come to the driver.
 
 Defined results: `und` with score 0 where the text is null, empty or has no letters, or nothing could be learned; a row
-without doc_id isn't learned from and isn't held out; repeated rows are repeated; an empty table gives no rows; other
-columns are ignored.
+without doc_id isn't learned from and isn't held out; ties between codewords go to the first language by name; repeated
+rows are repeated (and learned from once); a very long text is one vector like any other, with arrays of some thirty
+times its size in work; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from .common import crc_mod, pieces, table
 from .pretoken import LETTER, code_classes
 from .sampling import per_class
 
-PER_LANGUAGE, LANGUAGES = 500, 200
+PER_LANGUAGE, SAMPLE = 500, 20_000
 #: Hash buckets of n-grams, bits of a codeword, rounds of fitting, weight decay, lead under which a row is ambiguous.
 BUCKETS, BITS, ROUNDS, DECAY, LEAD = 2048, 31, 150, 1e-4, 0.2
 
@@ -97,23 +99,27 @@ def decode(model: dict, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarr
 def learn(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], dict | None]:
     """The languages and the model, from a bounded sample of the rows of df that have a language."""
     rows = df.filter(F.col(lang_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    sample, _ = per_class(rows, F.col("id"), "lang", PER_LANGUAGE, LANGUAGES)
-    got = sorted(((r["lang"], r["text"] or "") for r in sample.select("lang", "text").collect()))
+    sample, _ = per_class(rows, [F.col("id"), F.col("text")], "lang", PER_LANGUAGE, SAMPLE)
+
+    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in pieces(batches, "text"):
+            x, letters = gram_counts(texts)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([v.tobytes() for v in x.astype(np.float16)], pa.binary())], ["lang", "x"]).filter(pa.array(letters > 0))
+
+    got = sorted((r["lang"], bytes(r["x"])) for r in sample.select("lang", "text").mapInArrow(vectors, "lang string, x binary").collect())
     if not got:
         return [], None
-    parts = [gram_counts([t for _, t in got[i : i + 64]]) for i in range(0, len(got), 64)]
-    x, letters = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-    names = sorted({lang for (lang, _), n in zip(got, letters) if n})
-    keep = letters > 0
-    y = np.array([names.index(lang) for (lang, _), n in zip(got, letters) if n])
-    return (names, fit(x[keep], y, len(names))) if names else ([], None)
+    names = sorted({lang for lang, _ in got})
+    at = {lang: i for i, lang in enumerate(names)}
+    x = np.frombuffer(b"".join(v for _, v in got), np.float16).reshape(-1, BUCKETS).astype(np.float32)
+    return names, fit(x, np.array([at[lang] for lang, _ in got]), len(names))
 
 
 def predict(df: DataFrame, names: list[str], model: dict | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, lang_pred, score, ambiguous) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in pieces(batches, "text", 1 << 19):
+        for part, texts in pieces(batches, "text"):
             lang, score, unclear = ["und"] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
             for at in range(0, len(texts) if model else 0, 512):
                 x, letters = gram_counts(texts[at : at + 512])

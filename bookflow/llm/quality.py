@@ -5,11 +5,13 @@ its neighbours, over a bounded sample of labelled texts, with its own index vect
 enough are represented by their shape (letter case, digits, marks). A document is the mean over its tokens, the mean
 over its distinct symbols, and its size; a network with one hidden layer gives a score, whose temperature is fitted on
 a part of the sample that the weights haven't seen. The sample has about PER_CLASS rows of each label; rows weigh as
-their label does among all labelled rows.
+their label does among all labelled rows. The executors count its words, add up its word vectors and pool its documents;
+only the WORDS most frequent words, their vectors and one pooled vector for each row of the sample come to the driver.
 
 Defined results: null and empty texts are scored like any text without tokens; rows without a label in {0, 1} aren't
 learned from; with nothing to learn from every score is 0.5; a row without doc_id isn't held out; a document with several
-labels counts with each; repeated rows are repeated; an empty table gives no rows; other columns are ignored.
+labels counts with each; a score of exactly 0.5 is label 1; repeated rows are repeated (and learned from once); very
+long texts are scored whole; an empty table gives no rows; other columns are ignored by score() and kept by keep().
 """
 
 from __future__ import annotations
@@ -23,14 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_mod, pieces, table
+from .common import crc_mod, pieces, table, written
 from .sampling import per_class
 
 PER_CLASS = 1200
 #: Size of vectors, nonzero entries of an index vector, neighbours on each side, uses that make a word known, words known.
 SIZE, NONZERO, REACH, USES, WORDS = 48, 6, 2, 5, 20_000
 HIDDEN, ROUNDS, RATE, DECAY = 24, 250, 0.01, 1e-3
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 200_000
 #: Stands for a token that equals one of the last PERIOD tokens.
 AGAIN, PERIOD = "~again", 4
 
@@ -75,21 +77,45 @@ def rows_of(tokens: list[str], symbols: Symbols) -> np.ndarray:
     return rows
 
 
-def word_vectors(tokenised: list[list[str]]) -> tuple[dict[str, int], np.ndarray]:
-    """Known symbols with their rows, and the vectors; row 0 stands for all else."""
-    uses = Counter(t for ts in tokenised for t in ts)
-    known = [t for t, n in sorted(uses.items(), key=lambda x: (-x[1], x[0]))[:WORDS] if n >= USES]
-    shapes = sorted({shape(t) for t in uses})
-    rows = {s: i + 1 for i, s in enumerate(dict.fromkeys([AGAIN, *shapes, *known]))}
+def known_symbols(sample: DataFrame) -> dict[str, int]:
+    """Rows of the symbols in the vector table: repetition, shapes, and words with USES or more uses; row 0 stands for all else."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, texts in pieces(batches, "text"):
+            uses = Counter(t for text in texts for t in text.split())
+            shapes = {shape(t) for t in uses}
+            yield pa.RecordBatch.from_arrays([pa.array([*uses, *shapes]), pa.array([*uses.values(), *[0] * len(shapes)], pa.int64())], ["symbol", "n"])
+
+    counts = sample.select("text").mapInArrow(run, "symbol string, n long").groupBy("symbol", (F.col("n") == 0).alias("shape")).agg(F.sum("n").alias("n"))
+    top = counts.filter(F.col("shape") | (F.col("n") >= USES)).orderBy(F.desc("shape"), F.desc("n"), "symbol").limit(WORDS).collect()
+    shapes, words = (sorted(r["symbol"] for r in top if r["shape"] == k) for k in (True, False))
+    return {s: i + 1 for i, s in enumerate(dict.fromkeys([AGAIN, *shapes, *words]))}
+
+
+def word_vectors(sample: DataFrame, rows: dict[str, int]) -> np.ndarray:
+    """The vectors of the symbols: sums of whole numbers, so that their order doesn't matter."""
     index = np.stack([index_vector(s) for s in ["", *rows]])
-    vectors, symbols = index.copy(), Symbols(rows)
-    for ts in tokenised:
-        s = rows_of(ts, symbols)
-        for reach in range(1, min(REACH, len(s) - 1) + 1):
-            np.add.at(vectors, s[:-reach], index[s[reach:]])
-            np.add.at(vectors, s[reach:], index[s[:-reach]])
+    shared = sample.sparkSession.sparkContext.broadcast((rows, index))  # bounded by WORDS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, index = shared.value
+        symbols, sums = Symbols(rows), np.zeros(index.shape, np.float32)
+        for _, texts in pieces(batches, "text"):
+            for text in texts:
+                s = rows_of(text.split(), symbols)
+                for reach in range(1, min(REACH, len(s) - 1) + 1):
+                    np.add.at(sums, s[:-reach], index[s[reach:]])
+                    np.add.at(sums, s[reach:], index[s[:-reach]])
+        some = np.flatnonzero(sums.any(axis=1))
+        lists = pa.FixedSizeListArray.from_arrays(pa.array(sums[some].astype(np.int64).ravel()), SIZE).cast(pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), lists], ["row", "v"])
+
+    sums = sample.select("text").mapInArrow(run, "row int, v array<long>").groupBy("row").agg(F.array(*(F.sum(F.get("v", F.lit(i))) for i in range(SIZE))).alias("v"))
+    vectors = index.astype(np.float64)
+    for r in sums.collect():
+        vectors[r["row"]] += r["v"]
     length = np.sqrt((vectors**2).sum(axis=1, keepdims=True))
-    return rows, (vectors / np.maximum(length, 1e-6)).astype(np.float32)
+    return (vectors / np.maximum(length, 1e-6)).astype(np.float32)
 
 
 def features(texts: list[str], symbols: Symbols, vectors: np.ndarray) -> np.ndarray:
@@ -141,19 +167,28 @@ def train(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> dict:
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> dict | None:
     """The model, from a bounded sample of labels (id, label) and their documents."""
-    rows = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("label"))
-    sample, counts = per_class(rows, F.col("id"), "label", PER_CLASS, 2)
+    rows = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("label")).distinct()
+    sample, counts = per_class(rows, [F.col("id")], "label", PER_CLASS, 2 * PER_CLASS)
     if not counts:
         return None
-    # The sample has about 2 x PER_CLASS rows at any size of the table, so it is safe to broadcast.
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(sample), "id")
-    got = sorted((r["id"], r["label"], r["text"] or "") for r in texts.collect())
-    if not got:
+    # The sample has about 2 x PER_CLASS distinct ids at any size of the table, so it is safe to broadcast.
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).join(F.broadcast(sample), "id")
+    drawn = written(per_class(written(texts, "labelled"), [F.col("id"), F.col("text")], "label", PER_CLASS, 2 * PER_CLASS)[0], "sample")
+    if drawn.isEmpty():
         return None
-    tokenised = [t.split() for _, _, t in got]
-    known, vectors = word_vectors(tokenised)
-    x = features([t for _, _, t in got], Symbols(known), vectors).astype(np.float64)
-    y = np.array([label for _, label, _ in got], np.float64)
+    known = known_symbols(drawn)
+    vectors = word_vectors(drawn, known)
+    shared = docs.sparkSession.sparkContext.broadcast((known, vectors))
+
+    def pooled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, own = shared.value
+        symbols = Symbols(rows)
+        for part, texts in pieces(batches, "text"):
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([v.tobytes() for v in features(texts, symbols, own)], pa.binary())], ["label", "x"])
+
+    got = sorted((r["label"], bytes(r["x"])) for r in drawn.select("label", "text").mapInArrow(pooled, "label int, x binary").collect())
+    x = np.frombuffer(b"".join(v for _, v in got), np.float32).reshape(len(got), -1).astype(np.float64)
+    y = np.array([label for label, _ in got], np.float64)
     taken = Counter(y.astype(int).tolist())
     weight = np.array([counts[int(k)] / taken[int(k)] for k in y])
     return {"net": train(x, y, weight), "rows": known, "vectors": vectors}

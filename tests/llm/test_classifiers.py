@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from bookflow.llm import language, quality
+from bookflow.llm import language, quality, sampling
 
 from .helpers import as_dir, documents
 
@@ -64,6 +64,51 @@ def test_odd_rows(spark, tmp_path, labelled):
     assert {(i, "und") for i in (0, 1, 2)} <= langs and (3, "en") in langs and (None, "en") in langs
 
 
+def test_no_language_is_left_out(spark, tmp_path):
+    """230 languages of a few rows each, every one with an alphabet pair of its own."""
+    rows = [(i * 10 + j, f"{chr(0x4E00 + 3 * i)}{chr(0x4E01 + 3 * i)} " * 6, f"l{i:03d}") for i in range(230) for j in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    names, model = language.learn(df)
+    assert len(names) == 230
+    got = {r.doc_id: r.lang_pred for r in language.predict(df, names, model).collect()}
+    assert np.mean([got[i] == lang for i, _, lang in rows]) > 0.9
+
+
+def test_repeated_labels_and_ids_keep_the_sample_small(spark):
+    docs = documents(spark, [(1, f"row {i}") for i in range(3000)] + [(2, "other text")])
+    labels = spark.createDataFrame([(1, 1)] * 500 + [(2, 0)], "doc_id long, quality int")
+    sample, counts = sampling.per_class(docs.select("doc_id", "text", "lang"), [docs.doc_id, docs.text], "lang", 100, 1000)
+    assert counts == {"en": 3001} and 50 < sample.count() < 200
+    assert quality.learn(docs, labels) is not None
+
+
+def test_scores_against_plain_scoring(spark):
+    """The score of every row of a table from the model, one text at a time and in plain Python."""
+    docs = pd.read_parquet(f"{SF}/documents.parquet").head(150)
+    df = spark.createDataFrame(docs[["doc_id", "text", "lang"]])
+    model = quality.learn(spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet"))
+    got = {r.doc_id: r.score for r in quality.score(df, model).collect()}
+    for i, t in zip(docs.doc_id, docs.text):
+        tokens, rows = t.split(), []
+        for k, token in enumerate(tokens):
+            again = any(tokens[k - lag] == token for lag in range(1, quality.PERIOD + 1) if k >= lag)
+            rows.append(model["rows"][quality.AGAIN] if again else model["rows"].get(token, model["rows"].get(quality.shape(token), 0)))
+        x = np.zeros(2 * quality.SIZE + 2)
+        if tokens:
+            x[: quality.SIZE] = np.mean([model["vectors"][r] for r in rows], axis=0)
+            x[quality.SIZE : -2] = np.mean([model["vectors"][r] for r in set(rows)], axis=0)
+            x[-2:] = np.log1p(len(tokens)) / 8, len(set(tokens)) / len(tokens)
+        net = model["net"]
+        z = np.tanh(((x - net["mean"]) / net["spread"]) @ net["w1"] + net["b1"]) @ net["w2"] + net["b2"][0]
+        assert abs(got[i] - 1 / (1 + np.exp(-z / net["heat"]))) < 1e-4
+    names, lang = language.learn(df)
+    found = {r.doc_id: r for r in language.predict(df, names, lang).collect()}
+    for i, t in zip(docs.doc_id, docs.text):
+        x, _ = language.gram_counts([t])
+        loss = [sum(w * np.log1p(np.exp(-m * b)) for m, b, w in zip((x @ lang["w"] + lang["b"])[0], word, lang["weight"])) for word in lang["book"]]
+        assert found[i].lang_pred == names[int(np.argmin(loss))]
+
+
 def test_empty_tables(spark, tmp_path):
     sf = as_dir(documents(spark, []), tmp_path)
     as_dir(spark.createDataFrame([], "doc_id long, quality int, toxic int"), tmp_path, "labels")
