@@ -1,19 +1,20 @@
 """WARC archives with a two-level capture index (operator 7).
 
-write(): captures are dealt by ranges of their sort-friendly key (host reversed, then path) and sorted. Each part
+write(): captures are dealt by ranges of their sort-friendly key (host reversed, then path and query) and sorted; a key
+with very many captures is divided by page id. Each part
 becomes one archive of gzip members, a file of index blocks (BLOCK sorted entries each, compressed) and a sparse
 directory with the first key and the place of each block. Of captures with equal payloads one is the response; the
 others are revisits that carry its id and the length and digest of the full payload, but not the payload.
-read(): every part's directory is walked, its blocks are opened and the records are range-read from the archive.
-lookup(): a key finds its part among the parts' first keys, its block by binary search in the directory, its entries
-by binary search in the block, and then reads only those ranges.
+lookup(): a url's key finds its parts among the parts' key ranges, its blocks by binary search in the directory, its
+entries by binary search in the block, and then only those ranges are read; of the records those of that very url count.
+read(): all records, without keys: every part's directory is walked and its blocks opened in turn.
 
 Files are written under new names and listed in a manifest, which only has those of tasks that ended; a task that runs
 again writes new files. pyarrow opens the files, so that any shared store that it knows can hold them.
 
 Defined results: a null html has an empty payload; a null url has the key ''; of equal rows all with the largest id are
-responses; a null id is written and never chosen as a response unless all ids of its payload are null; an empty table
-gives an empty manifest; other columns are ignored.
+responses; a null id is written and never chosen as a response unless all ids of its payload are null; very long pages
+are held whole, one at a time; an empty table gives an empty manifest; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,16 +22,16 @@ from __future__ import annotations
 import base64
 import bisect
 import hashlib
+import itertools
 import json
 import uuid
 import zlib
 from collections.abc import Iterator
-from urllib.parse import urlsplit
 
 import pandas as pd
 import pyarrow as pa
 import pyarrow.fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import shared_dir, table, written
@@ -41,17 +42,16 @@ MANIFEST = "part int, first_key string, last_key string, n long, archive string,
 RECORD = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
 
 
-def sort_key(url: str | None) -> str:
-    """Reversed host, then port, path and query: com,example,www)/path?query."""
-    try:
-        found = urlsplit((url or "").strip())
-        host, port = (found.hostname or "").rstrip("."), found.port
-    except ValueError:
-        return (url or "").lower()
-    if not host:
-        return (url or "").lower()
-    reversed_ = ",".join(reversed(host.removeprefix("www.").split(".")))
-    return f"{reversed_}{f':{port}' if port and port not in (80, 443) else ''}){found.path.lower() or '/'}{f'?{found.query.lower()}' if found.query else ''}"
+def sort_key(url: Column) -> Column:
+    """Reversed host, then port, path and query: com,example,www)/path?query; urls without a host are their own keys."""
+    url = F.coalesce(url.cast("string"), F.lit(""))
+    scheme = r"^[A-Za-z][A-Za-z0-9+.-]*://"
+    rest = F.regexp_replace(url, rf"{scheme}(?:[^/?#@]*@)?", "")
+    host = F.regexp_replace(F.lower(F.regexp_extract(rest, "^[^/?#:]*", 0)), r"\.$", "")
+    port = F.regexp_extract(rest, "^[^/?#:]*(:[0-9]+)", 1)
+    tail = F.regexp_extract(rest, "^[^/?#]*([^#]*)", 1)
+    key = F.concat(F.array_join(F.reverse(F.split(host, r"\.")), ","), F.when(port.isin(":80", ":443"), "").otherwise(port), F.lit(")"), F.when(tail == "", "/").otherwise(tail))
+    return F.when(url.rlike(scheme) & (host != ""), key).otherwise(url)
 
 
 def base32_sha1(payload: bytes) -> str:
@@ -140,10 +140,6 @@ class Part:
 def captures(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
     """(page_id, url, key, payload, size, digest, refers_to, revisit); revisits without payload."""
 
-    @F.pandas_udf("string")
-    def keys(urls: pd.Series) -> pd.Series:
-        return urls.map(sort_key, na_action=None)
-
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumn("sha", F.sha1("payload"))
     same = rows.select("page_id", "sha")
@@ -153,7 +149,7 @@ def captures(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> Data
     chosen = revisits.select(F.col("page_id").alias("of"), F.col("sha").alias("of_sha"), F.col("largest").alias("refers_to"), F.lit(True).alias("met"))
     joined = rows.join(chosen, rows["page_id"].eqNullSafe(chosen["of"]) & (rows["sha"] == chosen["of_sha"]), "left")
     revisit = F.coalesce("met", F.lit(False))
-    return joined.select("page_id", "url", keys("url").alias("key"), F.length("payload").cast("long").alias("size"), "sha", "refers_to", revisit.alias("revisit"), F.when(~revisit, F.col("payload")).alias("payload"))
+    return joined.select("page_id", "url", sort_key(F.col("url")).alias("key"), F.length("payload").cast("long").alias("size"), "sha", "refers_to", revisit.alias("revisit"), F.when(~revisit, F.col("payload")).alias("payload"))
 
 
 def write(pages: DataFrame, base: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -228,50 +224,65 @@ def read(manifest: DataFrame, payloads: bool = True) -> DataFrame:
     return spread.mapInArrow(run, RECORD)
 
 
-def matching(directory: list, blocks: str, key: str) -> list[tuple]:
-    """Entries of a key: the blocks that can hold it by binary search in the directory, then binary search in each."""
-    keys = [d[0] for d in directory]
-    out = []
-    for k in range(max(bisect.bisect_left(keys, key) - 1, 0), bisect.bisect_right(keys, key)):
-        entries = block(blocks, directory[k][1], directory[k][2])
-        own = [e[0] for e in entries]
-        out += entries[bisect.bisect_left(own, key) : bisect.bisect_right(own, key)]
-    return out
+class Index:
+    """The directory of a part, with the block that was opened last."""
+
+    def __init__(self, blocks: str, directory: str):
+        self.blocks, self.directory = blocks, json.loads(whole_file(directory))
+        self.keys, self.at, self.entries, self.own = [d[0] for d in self.directory], None, [], []
+
+    def open(self, k: int) -> None:
+        if self.at != k:
+            self.at, self.entries = k, block(self.blocks, *self.directory[k][1:])
+            self.own = [e[0] for e in self.entries]
+
+    def matching(self, key: str) -> list[tuple]:
+        """Entries of a key: the blocks that can hold it by binary search in the directory, then binary search in each."""
+        out = []
+        for k in range(max(bisect.bisect_left(self.keys, key) - 1, 0), bisect.bisect_right(self.keys, key)):
+            self.open(k)
+            out += self.entries[bisect.bisect_left(self.own, key) : bisect.bisect_right(self.own, key)]
+        return out
 
 
-def lookup(manifest: DataFrame, urls: DataFrame, url_col: str = "url") -> DataFrame:
-    """All captures of the wanted urls (key equal); the wanted rows are joined to the parts whose key range holds them.
+def lookup(manifest: DataFrame, urls: DataFrame, url_col: str = "url", payloads: bool = True) -> DataFrame:
+    """All captures of the wanted urls; a null url stands for pages without one.
 
-    The first keys of the parts (a row for each part) are sent to all tasks; the archives are only read where needed.
+    The wanted keys are joined to the parts whose key range holds them, and each part's keys are looked up in order by
+    one task. The key ranges of the parts (a row for each part) are sent to all tasks.
     """
     spark = manifest.sparkSession
     parts = sorted((tuple(r) for r in manifest.select("first_key", "last_key", "part", "archive", "blocks", "directory").collect()))
     shared = spark.sparkContext.broadcast(parts)
 
-    @F.pandas_udf("string")
-    def keys(wanted: pd.Series) -> pd.Series:
-        return wanted.map(sort_key, na_action=None)
-
     @F.pandas_udf("array<int>")
     def parts_of(wanted: pd.Series) -> pd.Series:
         firsts = [p[0] for p in shared.value]
         return wanted.map(lambda key: [i for i in range(max(bisect.bisect_left(firsts, key) - 1, 0), bisect.bisect_right(firsts, key)) if shared.value[i][1] >= key])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        opened: dict[int, list] = {}
+        opened: tuple[int | None, Index | None] = (None, None)
         for batch in batches:
-            for at, key in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                _, _, _, archive, blocks, directory = shared.value[at]
-                if at not in opened:
-                    opened = {at: json.loads(whole_file(directory))}
-                found = [*fetch(archive, matching(opened[at], blocks, key))]
-                if found:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), RECORD_TYPES)], RECORD_NAMES)
-
-    wanted = urls.select(keys(F.col(url_col).cast("string")).alias("key")).distinct().select(F.explode(parts_of("key")).alias("at"), "key")
-    return wanted.repartition("at", "key").sortWithinPartitions("at", "key").mapInArrow(run, RECORD)
+            for start in range(0, batch.num_rows, BLOCK):
+                held: dict[int, tuple[list, set]] = {}
+                for at, key, wanted in zip(*(c.to_pylist() for c in batch.slice(start, BLOCK).columns), strict=True):
+                    if opened[0] != at:
+                        opened = (at, Index(*shared.value[at][4:6]))
+                    entries, exact = held.setdefault(at, ([], set()))
+                    entries += opened[1].matching(key)
+                    exact.update(map(one_line, wanted))
+                for at, (entries, exact) in held.items():
+                    found = (r if payloads else (*r[:-1], None) for r in fetch(shared.value[at][3], entries) if r[1] in exact)
+                    while some := [*itertools.islice(found, 64)]:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*some), RECORD_TYPES)], RECORD_NAMES)
+
+    url = F.coalesce(F.col(url_col).cast("string"), F.lit(""))
+    wanted = urls.select(sort_key(url).alias("key"), url.alias("url")).distinct().groupBy("key").agg(F.collect_list("url").alias("wanted"))  # spellings of one key
+    placed = wanted.select(F.explode(parts_of("key")).alias("at"), "key", "wanted")
+    return placed.repartitionById(max(len(parts), 1), "at").sortWithinPartitions("at", "key").mapInArrow(run, RECORD)
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    manifest = write(table(spark, sf_dir, "pages"), f"{shared_dir(spark)}/bookflow/warc-{uuid.uuid4().hex}")
-    return read(manifest, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    pages = table(spark, sf_dir, "pages")
+    manifest = write(pages, f"{shared_dir(spark)}/bookflow/warc-{uuid.uuid4().hex}")
+    return lookup(manifest, pages, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
