@@ -9,11 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 
 #: Ways into which the rows of a hub are dealt in the joins.
 SALTS = 8
-MAX_ROUNDS = 60
 
 
 def with_least(edges: DataFrame, least: DataFrame) -> DataFrame:
@@ -35,22 +34,22 @@ def small_star(edges: DataFrame) -> DataFrame:
     return with_least(down, least).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least)
 
 
-def state(edges: DataFrame) -> tuple:
-    return edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-
-
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root) of every node that is not its component's smallest. edges: u, v long, undirected, any order."""
+    """(node, root) of every node that is not its component's smallest. edges: u, v long, undirected, any order.
+
+    Rounds go on until the table of edges stays the same, which takes a logarithmic number of them. The result is a
+    table that discard() can remove.
+    """
     now = written(edges.filter("u <> v").select("u", "v").distinct(), "edges")
-    before = state(now)
-    for _ in range(MAX_ROUNDS):
-        if not before[0]:
-            break
-        now = written(small_star(large_star(now).distinct()).distinct(), "edges")
-        after = state(now)
-        if after == before:
+    n = now.count()
+    while n:
+        new = written(small_star(large_star(now).distinct()).distinct(), "edges")
+        after = new.count()
+        same = after == n and new.join(now, ["u", "v"], "left_anti").isEmpty()
+        discard(now)
+        now, n = new, after
+        if same:
             break
-        before = after
-    else:
-        raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
-    return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    out = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    out.written_to = now.written_to
+    return out

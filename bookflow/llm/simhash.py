@@ -1,19 +1,24 @@
 """SimHash near-duplicates (operator 2), by meet-in-the-middle ball hashing.
 
 Two fingerprints within distance 2r meet in a common variant within r of each, so every distinct fingerprint emits all
-variants within r = 2 bits (2,081 of 64-bit words) and equal variants meet. The variants are shuffled on their first
-`route` bits only: a fingerprint goes once to each prefix that one of its variants has (37 for 8 bits), and the rest of
-each variant is made where it is needed. All fingerprints of a variant are within 4 bits of each other; each group gives
-the links from its smallest to the others, which are deduplicated, verified and reduced to a spanning forest in place.
+variants within r = 2 bits (2,081 of 64-bit words) and equal variants meet. The shuffle on variants is by their first
+`route` bits: a fingerprint goes once to each prefix that one of its variants has (79 for 12 bits), and the variants
+themselves are made, met and deduplicated where they are needed, in blocks of at most VARIANTS_AT_ONCE. (Sending each of
+the 2,081 variants by itself would be some 15 times the input.) All fingerprints of a variant are within 4 bits of each
+other; each group gives the links from its smallest member, which are verified and joined in a union-find array of the
+prefix, so links inside a component that is known already are never kept, and a block whose fingerprints are one
+component already isn't made at all. A task sends on a forest only.
 
 Defined results: null, empty and blank texts have fingerprint 0 and link like any other; a null doc_id takes part but
-never names a component unless it is alone; repeated rows are repeated; an empty table gives no rows; other columns are
-ignored.
+never names a component unless it is alone; repeated rows are repeated; ties of rows for the one that stays are broken
+by id, then by text hash; very long texts are hashed whole, in blocks; an empty table gives no rows; other columns are
+carried along or ignored, whatever their names.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,41 +26,53 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pieces, table, written
+from .common import discard, pieces, table, unused, written
 from .components import components, with_least
 
 #: Words of a shingle, seed of the hash, bits that may differ in a link.
 SHINGLE, SEED, DISTANCE = 4, 42, 4
 #: Variants made at once in a task; a prefix with more is divided by further bits.
-VARIANTS_AT_ONCE = 1 << 21
-#: Links held in a task before they are reduced and sent on.
-LINKS_AT_ONCE = 1 << 20
+VARIANTS_AT_ONCE = 1 << 18
 #: Fingerprints that a prefix should have on average; it sets the number of routing bits.
-PER_PREFIX = 1 << 21
-LEAST_ROUTE = 8
+PER_PREFIX = 1 << 19
+LEAST_ROUTE = 12
+#: Shingles hashed at once.
+BLOCK = 1 << 16
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 BITS = np.arange(63, -1, -1, dtype=np.uint64)
 
 
-def fingerprint(text: str, shingle: int = SHINGLE) -> int:
+def shingle_hashes(text: str, shingle: int, seed: int = SEED) -> Iterator[np.ndarray]:
+    """XXH64 of each shingle of words, repeats included, in blocks; nothing for a text without words."""
     words = text.encode().translate(LOWER).split()  # at the six ASCII white-space bytes
     if not words:
-        return 0
+        return
     joined = b" ".join(words)
     if len(words) <= shingle:
-        return xxhash.xxh64_intdigest(joined, SEED)
+        yield np.array([xxhash.xxh64_intdigest(joined, seed)], np.uint64)
+        return
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
-    n = len(words) - shingle + 1
-    h = np.fromiter((xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts[:n].tolist(), ends[shingle - 1 :].tolist())), np.uint64, n)
-    set_bits = np.zeros(64, np.int64)
-    for at in range(0, n, 1 << 16):
-        part = h[at : at + (1 << 16)].astype(">u8").view(np.uint8).reshape(-1, 8)
-        set_bits += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.int64)
+    n, ends = len(words) - shingle + 1, ends[shingle - 1 :]
+    for at in range(0, n, BLOCK):
+        cuts = zip(starts[at : min(at + BLOCK, n)].tolist(), ends[at : at + BLOCK].tolist())
+        yield np.fromiter((xxhash.xxh64_intdigest(joined[a:b], seed) for a, b in cuts), np.uint64, min(BLOCK, n - at))
+
+
+def majority(hashes: Iterable[np.ndarray]) -> int:
+    """The word whose bits are set in over half the hashes."""
+    n, set_bits = 0, np.zeros(64, np.int64)
+    for h in hashes:
+        n += len(h)
+        set_bits += np.unpackbits(h.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
     return int(np.sum((2 * set_bits > n).astype(np.uint64) << BITS, dtype=np.uint64))
 
 
+def fingerprint(text: str, shingle: int = SHINGLE) -> int:
+    return majority(shingle_hashes(text, shingle))
+
+
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fp long, text_key long); fp holds the 64 bits, text_key tells rows of one id apart."""
 
@@ -69,6 +86,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return chosen.mapInArrow(run, "id long, fp long, text_key long").withColumnRenamed("id", id_col)
 
 
+@lru_cache(256)
 def masks(bits: int, flips: int) -> np.ndarray:
     """All words of `bits` bits with at most `flips` (0 to 2) set."""
     one = np.uint64(1) << np.arange(bits, dtype=np.uint64)
@@ -81,63 +99,56 @@ def masks(bits: int, flips: int) -> np.ndarray:
     return np.concatenate(parts)
 
 
-def forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
-    """Smallest node reachable from each of n nodes over the links (a, b)."""
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[a], label[b])
-        new = label.copy()
-        np.minimum.at(new, label[a], low)
-        np.minimum.at(new, label[b], low)
-        new = new[new]
-        if np.array_equal(new, label):
-            return label
-        label = new
-
-
-def reduced(pairs: np.ndarray) -> np.ndarray:
-    """Verified pairs of fingerprints as a forest over the same components."""
-    pairs = pairs[np.bitwise_count(pairs[:, 0] ^ pairs[:, 1]) <= DISTANCE]
-    nodes, at = np.unique(pairs, return_inverse=True)
-    at = at.reshape(-1, 2)
-    root = forest(at[:, 0], at[:, 1], len(nodes))
-    rest = np.flatnonzero(root != np.arange(len(nodes)))
-    return np.stack([nodes[root[rest]], nodes[rest]], axis=1)
-
-
-def meet(fps: np.ndarray, prefix: int, bits: int) -> Iterator[np.ndarray]:
-    """Links among sorted distinct fingerprints whose variants have the given prefix of so many bits."""
+class Forest:
+    """Union-find over n nodes as an array: every node's label is the smallest node known to be linked with it."""
+
+    def __init__(self, n: int):
+        self.label = np.arange(n)
+
+    def join(self, a: np.ndarray, b: np.ndarray) -> None:
+        """Joins the components of a[i] and b[i]; links within a component are left out at once."""
+        while True:
+            x, y = self.label[a], self.label[b]
+            apart = x != y
+            if not apart.any():
+                return
+            a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+            np.minimum.at(self.label, np.maximum(x, y), np.minimum(x, y))
+            while not np.array_equal(up := self.label[self.label], self.label):
+                self.label = up
+
+    def links(self) -> tuple[np.ndarray, np.ndarray]:
+        """The nodes that aren't their component's smallest, with it."""
+        rest = np.flatnonzero(self.label != np.arange(len(self.label)))
+        return self.label[rest], rest
+
+
+def meet(fps: np.ndarray, own: np.ndarray, forest: Forest, prefix: int, bits: int) -> None:
+    """Joins those of the fingerprints `own` (places in fps) that share a variant with the given prefix of so many bits."""
     rest = 64 - bits
-    flips = np.bitwise_count((fps >> np.uint64(rest) if rest < 64 else np.zeros_like(fps)) ^ np.uint64(prefix)) if bits else np.zeros(len(fps), np.uint8)
-    fps, flips = fps[flips <= 2], flips[flips <= 2]
-    if len(fps) < 2:
+    flips = np.bitwise_count((fps[own] >> np.uint64(rest) if rest < 64 else np.zeros(len(own), np.uint64)) ^ np.uint64(prefix)) if bits else np.zeros(len(own), np.uint8)
+    own, flips = own[flips <= 2], flips[flips <= 2]
+    if len(own) < 2 or (forest.label[own] == forest.label[own[0]]).all():
         return
     sizes = [len(masks(rest, 2 - k)) for k in range(3)] if rest else [1, 1, 1]
-    counts = np.bincount(flips, minlength=3)
-    if rest and int((counts * sizes).sum()) > VARIANTS_AT_ONCE:
+    if rest and int((np.bincount(flips, minlength=3) * sizes).sum()) > VARIANTS_AT_ONCE:
         for bit in (0, 1):
-            yield from meet(fps, prefix << 1 | bit, bits + 1)
+            meet(fps, own, forest, prefix << 1 | bit, bits + 1)
         return
     made, owners = [], []
     low = np.uint64((1 << rest) - 1)
     for k in range(3):
-        own = np.flatnonzero(flips == k)
+        some = own[flips == k]
         m = masks(rest, 2 - k) if rest else np.zeros(1, np.uint64)
-        made.append(((fps[own] & low)[:, None] ^ m).ravel())
-        owners.append(np.repeat(own, len(m)))
+        made.append(((fps[some] & low)[:, None] ^ m).ravel())
+        owners.append(np.repeat(some, len(m)))
     variant, owner = np.concatenate(made), np.concatenate(owners)
-    ordered = np.sort(variant)
-    twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
-    if not len(twice):
-        return
-    at = np.minimum(np.searchsorted(twice, variant), len(twice) - 1)
-    hit = np.flatnonzero(twice[at] == variant)
-    group, member = at[hit], owner[hit]
-    first = np.full(len(twice), len(fps), np.int64)
-    np.minimum.at(first, group, member)
-    links = np.unique(first[group] * len(fps) + member)
-    a, b = links // len(fps), links % len(fps)
-    yield np.stack([fps[a[a != b]], fps[b[a != b]]], axis=1)
+    order = np.argsort(variant, kind="stable")
+    variant, owner = variant[order], owner[order]
+    same = np.flatnonzero(variant[1:] == variant[:-1])
+    a, b = owner[same], owner[same + 1]  # neighbours of a group: a path, so the group is joined whole
+    near = np.bitwise_count(fps[a] ^ fps[b]) <= DISTANCE
+    forest.join(a[near], b[near])
 
 
 def routes(fp: str, bits: int) -> F.Column:
@@ -147,29 +158,19 @@ def routes(fp: str, bits: int) -> F.Column:
 
 
 def links(distinct: DataFrame) -> DataFrame:
-    """(u, v) long: a forest over the links of distinct fingerprints (column fp)."""
+    """(u, v) long: links that have the components of all links of distinct fingerprints (column fp); a forest for each prefix."""
     n, bits = distinct.count(), LEAST_ROUTE
-    while bits < 30 and n * len(masks(bits, 2)) / 2**bits > PER_PREFIX:
+    while bits < 40 and n * len(masks(bits, 2)) / 2**bits > PER_PREFIX:
         bits += 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(pairs: np.ndarray) -> pa.RecordBatch:
-            pairs = pairs.view(np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["u", "v"])
-
-        held, size = [], 0
         for prefix, fps in by_prefix(batches):
-            for pairs in meet(np.sort(fps), prefix, bits):
-                held.append(pairs)
-                size += len(pairs)
-                if size > LINKS_AT_ONCE:
-                    held = [reduced(np.concatenate(held))]
-                    size = len(held[0])
-                    if size > LINKS_AT_ONCE // 2:
-                        yield out(held.pop())
-                        size = 0
-        if held:
-            yield out(reduced(np.concatenate(held)))
+            fps = np.sort(fps)
+            forest = Forest(len(fps))
+            meet(fps, np.arange(len(fps)), forest, prefix, bits)
+            low, high = (fps[x].view(np.int64) for x in forest.links())
+            for at in range(0, len(low), 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array(low[at : at + (1 << 16)]), pa.array(high[at : at + (1 << 16)])], ["u", "v"])
 
     routed = distinct.select("fp", F.explode(routes("fp", bits)).alias("prefix"))
     tasks = max(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
@@ -206,6 +207,8 @@ def cluster(prints: DataFrame, id_col: str = "doc_id") -> DataFrame:
     best = written(low.join(distinct, low["u"] == distinct["fp"]).select("u", F.least("low", "least").alias("m")), "best")
     moved = with_least(placed.select("u", "v"), best).select(F.col("v").alias("fp"), "m", "u").union(best.select(F.col("u").alias("fp"), "m", "u"))
     found = written(distinct.join(moved, "fp", "left").select("fp", F.coalesce("m", "least").alias("component_id"), F.coalesce("u", "fp").alias("group")), "places")
+    for done in (distinct, members, best):
+        discard(done)
     return prints.join(found, "fp")
 
 
@@ -223,9 +226,11 @@ def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
 def keep_firsts(df: DataFrame, best: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The rows of df named by (near_id, near_key), id and text hash; of equal rows one."""
+    of_id, of_key, own = unused(df, "near_id", "near_key", "near_text")
+    best = best.select(F.col("near_id").alias(of_id), F.col("near_key").alias(of_key))
     # rows to the same place by id and text hash; equal rows then meet without another shuffle
-    joined = df.withColumn("near_text", F.xxhash64(F.col(text_col).cast("string"))).join(best, (F.col(id_col).cast("long").eqNullSafe(F.col("near_id"))) & (F.col("near_text") == F.col("near_key")))
-    return joined.dropDuplicates(["near_id", "near_key"]).select(*df.columns)
+    joined = df.withColumn(own, F.xxhash64(F.col(text_col).cast("string"))).join(best, (F.col(id_col).cast("long").eqNullSafe(F.col(of_id))) & (F.col(own) == F.col(of_key)))
+    return joined.dropDuplicates([of_id, of_key]).select(*df.columns)
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -62,15 +62,33 @@ def test_planted_chains_and_dense_groups(spark):
     assert [got[i] for i, _ in rows] == plain_components(rows, fps)
 
 
+def around(rnd, center, n, flips):
+    out = set()
+    while len(out) < n:
+        x = center
+        for bit in rnd.sample(range(64), flips):
+            x ^= 1 << bit
+        out.add(x)
+    return np.array(sorted(out), np.uint64)
+
+
 def test_small_blocks_lose_no_link(monkeypatch):
     rnd = random.Random(5)
     monkeypatch.setattr(simhash, "VARIANTS_AT_ONCE", 3000)
-    center = rnd.getrandbits(64)
-    fps = np.unique(np.array([center ^ (1 << rnd.randrange(64)) ^ (1 << rnd.randrange(64)) ^ (1 << rnd.randrange(64)) for _ in range(60)], np.uint64))
-    pairs = np.concatenate([*simhash.meet(fps, 0, 0)])
-    label = simhash.forest(np.searchsorted(fps, pairs[:, 0]), np.searchsorted(fps, pairs[:, 1]), len(fps))
+    fps = np.unique(np.concatenate([around(rnd, rnd.getrandbits(64), 20, 3) for _ in range(4)]))
+    forest = simhash.Forest(len(fps))
+    simhash.meet(fps, np.arange(len(fps)), forest, 0, 0)
     want = plain_components([(i, 0) for i in range(len(fps))], [int(f) for f in fps])
-    assert label.tolist() == want
+    assert forest.label.tolist() == want
+
+
+def test_a_large_group_of_near_copies(spark):
+    """30,000 distinct fingerprints three bits from one centre, all linked, among others that aren't."""
+    rnd = random.Random(11)
+    fps = [*around(rnd, rnd.getrandbits(64), 30_000, 3).tolist(), *(rnd.getrandbits(64) for _ in range(2000))]
+    df = spark.createDataFrame([(i, int(np.uint64(f).astype(np.int64))) for i, f in enumerate(fps)], "doc_id long, fp long")
+    got = {r.doc_id: r.component_id for r in simhash.cluster(df).collect()}
+    assert [got[i] for i in range(len(fps))] == plain_components([*enumerate(fps)], fps)
 
 
 def test_components_of_a_path(spark):
@@ -88,3 +106,9 @@ def test_query(spark, sf, tmp_path):
     got = {r.doc_id: (r.fingerprint, r.component_id) for r in simhash.op2(spark, odd).collect()}
     assert [got[i] for i in range(3)] == [("0" * 16, 0)] * 3 and got[3][1] == got[4][1] == 3 and got[5][1] == 5
     assert simhash.op2(spark, as_dir(documents(spark, []), tmp_path / "none")).count() == 0
+
+
+def test_clashing_columns_stay(spark):
+    df = documents(spark, ["a b c d e f", "a b c d e f", "other words here"]).selectExpr("*", "'own' near_text", "'x' NEAR_ID", "'y' fp", "'z' group")
+    kept = simhash.deduplicate(df).orderBy("doc_id").collect()
+    assert [r.doc_id for r in kept] == [0, 2] and {(r.near_text, r.NEAR_ID, r.fp, r.group) for r in kept} == {("own", "x", "y", "z")}
