@@ -2,14 +2,17 @@
 
 encode(): every text becomes token ids and the byte offset of each token. Boundaries come from pretoken.tokens(); each
 distinct pre-token is merged once and kept in a bounded cache. decode(): ids become bytes again, placed by the offsets.
+digests(): both in one pass over the texts, giving digests of the ids and of what they decode to.
 
 Defined results: null and empty texts have no tokens and decode to empty bytes; null ids stay null; repeated rows give
-repeated rows; an empty table gives no rows; other columns of the input are ignored.
+repeated rows; an empty table gives no rows; other columns of the input are ignored. Very long texts are handled in
+segments that end where a pre-token ends, so the arrays in work are bounded unless a single pre-token is longer.
 """
 
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 import os
 from collections.abc import Iterator
@@ -22,10 +25,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import pretoken
-from .common import pieces, table
+from .common import blocks, pieces, table
 
 #: Pre-tokens kept by each Python worker, and the longest one kept.
-CACHE_ENTRIES, CACHE_CHARS = 300_000, 48
+CACHE_ENTRIES, CACHE_CHARS = 100_000, 48
+#: Tokens placed at once in decoding.
+SLICE = 1 << 17
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.tiktoken") -> str:
@@ -99,8 +104,8 @@ def list_array(values: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(values))
 
 
-def encode_texts(texts: list[str], path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ids and byte offsets of all tokens of the texts, end to end, and the number of tokens of each text."""
+def encode_parts(texts: list[str], path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ids and byte offsets of all tokens of the texts, end to end; the number of tokens and of bytes of each text."""
     cache = merged(path)
     sizes = symbols(path)[2]
     found, per_text = pretoken.tokens(texts)
@@ -110,38 +115,56 @@ def encode_texts(texts: list[str], path: str) -> tuple[np.ndarray, np.ndarray, n
         at += n
     counts = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
     ids = np.frombuffer(b"".join(packed), np.int32)
-    ends = np.cumsum(sizes[ids])
-    base = np.concatenate([[0], ends])[np.cumsum(counts) - counts]
-    return ids, (ends - sizes[ids] - np.repeat(base, counts)).astype(np.int32), counts
+    ends = np.concatenate([[0], np.cumsum(sizes[ids])])
+    last = np.cumsum(counts)
+    base = ends[last - counts]
+    return ids, (ends[:-1] - np.repeat(base, counts)).astype(np.int32), counts, ends[last] - base
+
+
+def encode_texts(texts: list[str], path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids and byte offsets of all tokens of the texts, end to end, and the number of tokens of each text."""
+    ids, offsets, counts, done = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)], np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+    for owners, parts in blocks(texts):
+        own, places, n, size = encode_parts(parts, path)
+        ids.append(own)
+        offsets.append(places + np.repeat(done[owners], n).astype(np.int32))
+        counts[owners] += n
+        done[owners] += size
+    return np.concatenate(ids), np.concatenate(offsets), counts
 
 
 def decode_ids(ids: np.ndarray, offsets: np.ndarray, counts: np.ndarray, path: str) -> list[bytes]:
     """Bytes of each text; every token's bytes go to its offset."""
     data, starts, sizes = symbols(path)
-    lengths = sizes[ids]
     last = np.cumsum(counts) - 1
-    totals = np.where(counts > 0, offsets[last] + lengths[last], 0) if len(ids) else np.zeros(len(counts), np.int64)
+    totals = np.where(counts > 0, offsets[last] + sizes[ids[last]], 0) if len(ids) else np.zeros(len(counts), np.int64)
     bases = np.cumsum(totals) - totals
     out = np.empty(int(totals.sum()), np.uint8)
-    place = np.repeat(bases, counts) + offsets
-    if len(ids):
+    text_of = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+    for at in range(0, len(ids), SLICE):
+        own, lengths = ids[at : at + SLICE], sizes[ids[at : at + SLICE]]
         within = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        out[np.repeat(place, lengths) + within] = data[np.repeat(starts[ids], lengths) + within]
-    whole = out.tobytes()
-    return [whole[a : a + n] for a, n in zip(bases.tolist(), totals.tolist())]
+        out[np.repeat(bases[text_of[at : at + SLICE]] + offsets[at : at + SLICE], lengths) + within] = data[np.repeat(starts[own], lengths) + within]
+    return [out[a : a + n].tobytes() for a, n in zip(bases.tolist(), totals.tolist())]
+
 
+def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, verify: bool = False) -> DataFrame:
+    """(id, ids array<int>, offsets array<int>) of every row; no shuffle.
 
-def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
-    """(id, ids array<int>, offsets array<int>) of every row; no shuffle."""
+    With verify also decoded_sha256 string, the digest of the bytes that the ids decode to, made in the same pass.
+    """
     path = path or vocabulary_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in pieces(batches, "text"):
             ids, offsets, counts = encode_texts(texts, path)
-            yield pa.RecordBatch.from_arrays([part.column(0), list_array(ids, counts), list_array(offsets, counts)], ["id", "ids", "offsets"])
+            columns = {"id": part.column(0), "ids": list_array(ids, counts), "offsets": list_array(offsets, counts)}
+            if verify:
+                columns["decoded_sha256"] = pa.array([hashlib.sha256(d).hexdigest() for d in decode_ids(ids, offsets, counts, path)])
+            yield pa.RecordBatch.from_pydict(columns)
 
     chosen = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return chosen.mapInArrow(run, "id long, ids array<int>, offsets array<int>").withColumnRenamed("id", id_col)
+    return chosen.mapInArrow(run, f"id long, ids array<int>, offsets array<int>{', decoded_sha256 string' if verify else ''}").withColumnRenamed("id", id_col)
 
 
 def decode(df: DataFrame, keep: list[str], path: str | None = None) -> DataFrame:
@@ -150,18 +173,47 @@ def decode(df: DataFrame, keep: list[str], path: str | None = None) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
+            sizes = np.asarray(whole.column(whole.schema.get_field_index("ids")).value_lengths().fill_null(0))
+            # rows are cut so that each part has about SLICE tokens
+            cuts = np.unique(np.searchsorted(np.cumsum(sizes), np.arange(0, int(sizes.sum()) + SLICE, SLICE), "right")).tolist() if len(sizes) else []
+            for a, b in zip([0, *cuts], [*cuts, whole.num_rows]):
+                if a == b:
+                    continue
+                batch = whole.slice(a, b - a)
                 ids, offsets = (batch.column(batch.schema.get_field_index(x)) for x in ("ids", "offsets"))
-                counts = np.asarray(ids.value_lengths().fill_null(0))
-                texts = decode_ids(np.asarray(ids.flatten()), np.asarray(offsets.flatten()), counts, path)
+                texts = decode_ids(np.asarray(ids.flatten()), np.asarray(offsets.flatten()), np.asarray(ids.value_lengths().fill_null(0)), path)
                 yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(k)) for k in keep), pa.array(texts, pa.binary())], [*keep, "decoded"])
 
     fields = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keep)
     return df.select(*dict.fromkeys([*keep, "ids", "offsets"])).mapInArrow(run, f"{fields}, decoded binary")
 
 
+def digests_of(texts: list[str], path: str) -> tuple[list[int], list[str], list[str]]:
+    """Number of tokens, digest of the ids in decimal and digest of the decoded bytes of each text."""
+    n = [0] * len(texts)
+    of_ids, of_bytes = [hashlib.sha256() for _ in texts], [hashlib.sha256() for _ in texts]
+    for owners, parts in blocks(texts):
+        ids, offsets, counts, _ = encode_parts(parts, path)
+        at = 0
+        for k, size, raw in zip(owners.tolist(), counts.tolist(), decode_ids(ids, offsets, counts, path), strict=True):
+            of_ids[k].update((" " if n[k] and size else "").encode() + " ".join(map(str, ids[at : at + size].tolist())).encode())
+            of_bytes[k].update(raw)
+            n[k], at = n[k] + size, at + size
+    return n, [h.hexdigest() for h in of_ids], [h.hexdigest() for h in of_bytes]
+
+
+def digests(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
+    """(id, n_tokens, ids_sha256, decoded_sha256) of every row, encoded and decoded again in one pass; no shuffle."""
+    path = path or vocabulary_path()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in pieces(batches, "text"):
+            n, of_ids, of_bytes = digests_of(texts, path)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(of_ids), pa.array(of_bytes)], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    chosen = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    return chosen.mapInArrow(run, "id long, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
+
+
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = encode(table(spark, sf_dir, "documents"))
-    digest = encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), "ids", "offsets")
-    return decode(digest, ["doc_id", "n_tokens", "ids_sha256"]).withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
+    return digests(table(spark, sf_dir, "documents"))
