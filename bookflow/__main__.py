@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import argparse
 import os
+import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bookflow import flows, rules
 from bookflow.functions import text as T
-from bookflow.operators import checkpoints, model_calls, transport
+from bookflow.operators import assembly, checkpoints, model_calls, transport
 from bookflow.sources import scans, sinks
 from bookflow.streaming import progress
 
@@ -19,6 +20,10 @@ def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="bookflow", description=__doc__)
     p.add_argument("--env-file", help="KEY=VALUE lines for settings that the environment lacks")
     p.add_argument("--core", default="fake", help="model provider, or fake for the deterministic stand-in")
+    p.add_argument("--api-key")
+    p.add_argument("--api-base")
+    p.add_argument("--model")
+    p.add_argument("--request-sleep", type=float, default=0.2, help="seconds to wait after each call")
     p.add_argument("--target", default=rules.TARGET, help="language of translations and summaries")
     sub = p.add_subparsers(dest="command", required=True)
     report = sub.add_parser("report", help="pages of documents to extracted text, translation and summary")
@@ -26,6 +31,9 @@ def parser() -> argparse.ArgumentParser:
     report.add_argument("--output", required=True)
     report.add_argument("--start-page", type=int, default=1)
     report.add_argument("--max-pages", type=int)
+    report.add_argument("--skip-ocr", action="store_true", help="don't read page images; the embedded text is used")
+    report.add_argument("--skip-translation", action="store_true")
+    report.add_argument("--skip-summary", action="store_true")
     report.add_argument("--resume", action="store_true", help="take translated pages from the output's checkpoints")
     report.add_argument("--translation-chunk-chars", type=int, default=0)
     report.add_argument("--summary-chunk-chars", type=int, default=0)
@@ -40,11 +48,58 @@ def parser() -> argparse.ArgumentParser:
 
 def client_of(a: argparse.Namespace) -> str:
     if a.core != "fake":
-        model_calls.register_model_client(a.core, transport.http_client(a.core, a.target))
+        model_calls.register_model_client(a.core, transport.http_client(a.core, a.target, api_key=a.api_key, base_url=a.api_base, model=a.model))
     return a.core
 
 
-def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
+def told(rows: DataFrame, what: str) -> int:
+    """Prints up to 20 errors (source, error); how many there are."""
+    bad = rows.filter("error IS NOT NULL")
+    for r in bad.limit(20).collect():
+        print(f"{what} {r[0]}: {r['error']}", file=sys.stderr)
+    return bad.count()
+
+
+def report(spark: SparkSession, a: argparse.Namespace) -> int:
+    """Documents to extracted text, translation and summary; the number of pages and documents that failed."""
+    p, pause = transport.profile(None if a.core == "fake" else a.core), 0.0 if a.core == "fake" else a.request_sleep
+    documents = scans.read_documents(spark, a.inputs)
+    scanned = scans.scan_pages(documents.filter("kind = 'pdf'"), start=a.start_page, most=a.max_pages)
+    failed = told(scanned.select("source", "error"), "not readable:")
+    images = scans.scan_images(documents).filter(F.lit(a.start_page <= 1)).select("source", "kind", "page_number", F.lit("").alias("embedded_text"))
+    pages = flows.book_id(scanned.filter("error IS NULL").drop("error").union(images))
+    client, state, saved = client_of(a), f"{a.output}/state", f"{a.output}/pages"
+    keys = "book_id string, page_number int"
+    if a.skip_ocr:
+        pages = pages.withColumn("ocr_text", F.lit("")).withColumn("notes", F.lit(""))
+    else:
+        drawn = scans.page_images(documents).filter("image IS NOT NULL").select("source", "page_number", "image")
+        read = flows.ocr_pages(pages.join(drawn, ["source", "page_number"], "left"), spark.createDataFrame([], f"{keys}, ocr_text string, notes string"), state, client, pause)
+        read.drop("image").write.mode("overwrite").parquet(f"{state}/ocr")
+        pages = spark.read.parquet(f"{state}/ocr")
+        failed += told(pages.select("book_id", "error"), "page not read:")
+        pages = pages.drop("error")
+    done = spark.createDataFrame([], f"{keys}, translation string")
+    if a.resume:
+        done = spark.read.schema(f"{keys}, translation string").json(saved)
+    if a.skip_translation:
+        out = {"pages": pages.withColumn("translation", F.lit(""))}
+        out["extracted"] = assembly.extracted(out["pages"])
+    else:
+        out = flows.translate_report(pages, checkpoints.scan(done, "translation"), state, client, a.resume, a.translation_chunk_chars or p["default_translation_chunk_chars"], a.summary_chunk_chars or p["default_summary_chunk_chars"], pause, not a.skip_summary)
+        failed += told(out["pages"].select("book_id", "error"), "page not translated:")
+    sinks.write_checkpoints(out["pages"].select("book_id", "page_number", "kind", "embedded_text", "ocr_text", "translation", "notes"), saved)
+    for name in ("extracted", "translation"):
+        if name in out:
+            sinks.write_texts(out[name].select("book_id", "text"), f"{a.output}/{name}", a_folder_each=True)
+    if "summary" in out:
+        failed += told(out["summary"].select("book_id", "error"), "no summary:")
+        sinks.write_texts(out["summary"].filter("summary IS NOT NULL").select("book_id", F.col("summary").alias("text")), f"{a.output}/summary", a_folder_each=True)
+    return failed
+
+
+def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
+    """Exit code: 1 if something failed."""
     a = parser().parse_args(argv)
     if a.env_file:
         with open(a.env_file, encoding="utf-8") as f:
@@ -53,27 +108,17 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     if a.command == "progress":
         progress.snapshot(scans.read_checkpoints(spark, a.folder)).orderBy("source").show(1000, False)
     elif a.command == "report":
-        p = transport.profile(None if a.core == "fake" else a.core)
-        documents = scans.read_documents(spark, a.inputs)
-        pages = flows.book_id(scans.scan_pages(documents.filter("kind = 'pdf'"), start=a.start_page, most=a.max_pages)).withColumn("ocr_text", F.lit("")).withColumn("notes", F.lit(""))
-        saved = f"{a.output}/pages"
-        done = pages.select("book_id", "page_number", F.lit("").alias("translation")).limit(0)
-        if a.resume:
-            done = spark.read.schema("book_id string, page_number int, translation string").json(saved)
-        out = flows.translate_report(pages, checkpoints.scan(done, "translation"), f"{a.output}/state", client_of(a), a.resume, a.translation_chunk_chars or p["default_translation_chunk_chars"], a.summary_chunk_chars or p["default_summary_chunk_chars"])
-        sinks.write_checkpoints(out["pages"].select("book_id", "page_number", "kind", "embedded_text", "translation", "notes"), saved)
-        for name in ("extracted", "translation"):
-            sinks.write_texts(out[name].select("book_id", "text"), f"{a.output}/{name}")
-        sinks.write_texts(out["summary"].select("book_id", F.col("summary").alias("text")), f"{a.output}/summary")
+        return int(report(spark, a) > 0)
     else:
         books = scans.read_markdown(spark, a.inputs).withColumn("book_id", T.slugify(F.regexp_extract("book_id", r"([^/\\]+?)(\.[^./\\]*)?$", 1)))
         if a.command == "repair":
-            sinks.write_texts(flows.repair(books, client_of(a)).select("book_id", "text"), f"{a.output}/repaired")
+            sinks.write_texts(flows.repair(books, client_of(a)).select("book_id", "text"), f"{a.output}/repaired", a_folder_each=True)
         else:
             made = flows.typeset(books)
-            sinks.write_texts(made["latex"].select("book_id", F.col("latex").alias("text")), f"{a.output}/latex")
+            sinks.write_texts(made["latex"].select("book_id", F.col("latex").alias("text")), f"{a.output}/latex", a_folder_each=True)
             sinks.docx_files(made["report"]).write.mode("overwrite").parquet(f"{a.output}/word")
+    return 0
 
 
 if __name__ == "__main__":
-    main()
+    sys.exit(main())

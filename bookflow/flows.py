@@ -16,10 +16,24 @@ def book_id(pages: DataFrame) -> DataFrame:
     return pages.withColumn("book_id", T.slugify(stem))
 
 
-def translate_report(pages: DataFrame, done: DataFrame, state: str, client: str = "fake", resume: bool = True, translate_chars: int = 16000, summary_chars: int = 24000) -> dict[str, DataFrame]:
+def ocr_pages(pages: DataFrame, done: DataFrame, state: str, client: str = "fake", pause: float = 0.0) -> DataFrame:
+    """Pages (book_id, page_number, image, embedded_text, ...) with ocr_text, notes and error.
+
+    Pages that `done` (book_id, page_number, ocr_text, notes) has aren't read again (with images of a broken run as
+    pages this is its recovery). Replies are saved below `state` as they come.
+    """
+    keys = ["book_id", "page_number"]
+    new = model_calls.ocr(checkpoints.pending(pages, done), client=client, pause=pause, journal=f"{state}/ocr_replies")
+    old = pages.drop("ocr_text", "notes").join(done.select(*keys, "ocr_text", "notes"), keys).withColumn("error", F.lit(None).cast("string"))
+    return new.union(old.select(*new.columns))
+
+
+def translate_report(pages: DataFrame, done: DataFrame, state: str, client: str = "fake", resume: bool = True, translate_chars: int = 16000, summary_chars: int = 24000, pause: float = 0.0, summarize: bool = True) -> dict[str, DataFrame]:
     """Pages (book_id, page_number, kind, embedded_text, ocr_text, notes) to extracted text, translation and summary of each book.
 
-    Pages that `done` has translated are taken from there if resume is set. Each paid stage is written below `state` before it is used.
+    Pages that `done` has translated are taken from there if resume is set. Each paid reply is saved below `state` as it
+    comes, so that a run that broke off goes on from there. `failures` counts the pages that couldn't be translated; they
+    have no translation and are sent again by the next run.
     """
     spark, keys = pages.sparkSession, ["book_id", "page_number"]
 
@@ -29,12 +43,14 @@ def translate_report(pages: DataFrame, done: DataFrame, state: str, client: str
 
     translated = done.filter(~checkpoints.needs_translation()).select(*keys, "translation") if resume else None
     todo = pages if translated is None else checkpoints.pending(pages, translated)
-    new = kept(model_calls.translate(todo, translate_chars, client=client), "translation")
-    both = new if translated is None else new.union(checkpoints.reused(translated, pages).select(*new.columns))
-    full = pages.join(both, keys)
-    source = assembly.summary_source(full)
-    summary = kept(model_calls.two_level_summary(source, summary_chars, client=client), "summary")
-    return {"extracted": assembly.extracted(full), "translation": assembly.page_markdown(full, "translation"), "summary": summary, "pages": full}
+    new = kept(model_calls.translate(todo, translate_chars, client=client, pause=pause, journal=f"{state}/replies"), "translation")
+    both = new if translated is None else new.union(checkpoints.reused(translated, pages).select(*keys, "translation", F.lit(None).cast("string")))
+    full = pages.drop("error").join(both, keys)
+    out = {"extracted": assembly.extracted(full), "translation": assembly.page_markdown(full, "translation"), "pages": full, "failures": model_calls.failures(full)}
+    if summarize:
+        source = assembly.summary_source(full)
+        out["summary"] = kept(model_calls.two_level_summary(source, summary_chars, client=client, pause=pause, journal=f"{state}/replies"), "summary")
+    return out
 
 
 def typeset(books: DataFrame) -> dict[str, DataFrame]:

@@ -68,14 +68,49 @@ def scan_pages(documents: DataFrame, suffix: str = ".pdf", start: int = 1, most:
                 try:
                     texts, error = decoder(content.as_py()), None
                 except Exception as e:  # errors stay with their document
-                    texts, error = [""], str(e)
+                    texts, error = [], str(e) or type(e).__name__
                 last = len(texts) if most is None else min(len(texts), max(1, start) + most - 1)
-                rows = [(n, texts[n - 1]) for n in range(max(1, start), last + 1)]
+                rows = [(max(1, start), "")] if error else [(n, texts[n - 1]) for n in range(max(1, start), last + 1)]
                 yield pa.RecordBatch.from_pydict({"source": [source.as_py()] * len(rows), "kind": ["pdf_page"] * len(rows), "page_number": pa.array([n for n, _ in rows], pa.int32()), "embedded_text": [t for _, t in rows], "error": pa.array([error] * len(rows), pa.string())})
 
     return documents.select("source", "content").mapInArrow(run, "source string, kind string, page_number int, embedded_text string, error string")
 
 
+def render_pdf(content: bytes) -> list[bytes]:
+    try:
+        import fitz
+    except ImportError as e:
+        raise RuntimeError("rendering PDF pages needs PyMuPDF, or a renderer registered for .pdf") from e
+    with fitz.open(stream=content, filetype="pdf") as doc:
+        return [page.get_pixmap(dpi=rules.DPI).tobytes("jpeg", rules.JPEG_QUALITY) for page in doc]
+
+
+Renderer = Callable[[bytes], list[bytes]]
+RENDERERS: dict[str, Renderer] = {".pdf": render_pdf}
+
+
+def register_renderer(suffix: str, renderer: Renderer) -> None:
+    """A renderer gives the images of the pages of a document."""
+    RENDERERS[suffix] = renderer
+
+
+def page_images(documents: DataFrame, suffix: str = ".pdf") -> DataFrame:
+    """(source, page_number, image, error): an image for each page of documents, and images as they are (page 1)."""
+    renderer = RENDERERS[suffix]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for source, kind, content in zip(*batch.columns):
+                try:
+                    images, error = [content.as_py()] if kind.as_py() == "image" else renderer(content.as_py()), None
+                except Exception as e:  # errors stay with their document
+                    images, error = [None], str(e) or type(e).__name__
+                for n, image in enumerate(images, 1):  # a page at a time
+                    yield pa.RecordBatch.from_pydict({"source": pa.array([source.as_py()]), "page_number": pa.array([n], pa.int32()), "image": pa.array([image], pa.binary()), "error": pa.array([error], pa.string())})
+
+    return documents.select("source", "kind", "content").mapInArrow(run, "source string, page_number int, image binary, error string")
+
+
 def scan_images(documents: DataFrame) -> DataFrame:
     """One page record for each image; its page is 1."""
     return documents.filter("kind = 'image'").select("source", F.lit("image").alias("kind"), F.lit(1).alias("page_number"), F.lit("image_0001.jpg").alias("image_path"))

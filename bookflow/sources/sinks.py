@@ -28,14 +28,25 @@ def pages_array(pages: DataFrame, fields: list[str]) -> DataFrame:
     return pages.groupBy("book_id").agg(F.to_json(own).alias("pages"))
 
 
+#: Folders into which books are dealt by a hash of their id.
+BUCKETS = 256
+
+
+def in_buckets(df: DataFrame) -> DataFrame:
+    return df.withColumn("bucket", F.pmod(F.xxhash64("book_id"), F.lit(BUCKETS)).cast("int"))
+
+
 def write_checkpoints(pages: DataFrame, folder: str) -> None:
-    """Appends page records as JSON lines, dealt by book; scans take the latest of each page."""
-    pages.write.mode("append").partitionBy("book_id").json(folder)
+    """Appends page records as JSON lines, dealt into BUCKETS folders by book; scans take the latest of each page."""
+    in_buckets(pages).write.mode("append").partitionBy("bucket").json(folder)
 
 
-def write_texts(books: DataFrame, folder: str) -> None:
-    """One text row a book, under its id; the number of files is that of the partitions, not one."""
-    books.select("book_id", F.col("text").alias("value")).write.mode("overwrite").partitionBy("book_id").text(folder)
+def write_texts(books: DataFrame, folder: str, a_folder_each: bool = False) -> None:
+    """JSON lines (book_id, text) in BUCKETS folders by book, or text files in a folder for each book, for few books."""
+    if a_folder_each:
+        books.select("book_id", F.col("text").alias("value")).write.mode("overwrite").partitionBy("book_id").text(folder)
+    else:
+        in_buckets(books.select("book_id", "text")).write.mode("overwrite").partitionBy("bucket").json(folder)
 
 
 STYLE = {("heading", 1): "Heading1", ("heading", 2): "Heading2", ("heading", 3): "Heading3", ("bullet", 0): "ListBullet", ("number", 0): "ListNumber"}

@@ -21,10 +21,10 @@ def test_report_resumes(spark, tmp_path, monkeypatch):
     (tmp_path / "a.pdf").write_bytes("first pagee\fsecond\fthird".encode())
     (tmp_path / "b.pdf").write_bytes(b"\xff\xfe")
     where = ["report", str(tmp_path / "a.pdf"), str(tmp_path / "b.pdf"), "--output", f"{tmp_path}/out"]
-    cli.main([*where, "--max-pages", "2"], spark)
+    assert cli.main([*where, "--max-pages", "2", "--skip-ocr"], spark) == 1  # b.pdf isn't readable
     first = spark.read.json(f"{tmp_path}/out/pages").filter("book_id = 'a'").collect()
     assert {r.page_number: r.translation for r in first} == {1: "first pagEE", 2: "sEcond"}
-    cli.main([*where, "--resume"], spark)
+    cli.main([*where, "--resume", "--skip-ocr"], spark)
     again = [r.value for r in spark.read.text(f"{tmp_path}/out/translation").filter("book_id = 'a'").collect()]
     assert "first pagEE" in again and "third" in again and "## 第 3 页" in again
 
@@ -32,3 +32,14 @@ def test_report_resumes(spark, tmp_path, monkeypatch):
 def test_arguments():
     a = cli.parser().parse_args(["--core", "mimo", "report", "x", "y", "--output", "o", "--start-page", "3"])
     assert a.inputs == ["x", "y"] and a.start_page == 3 and a.core == "mimo"
+
+
+def test_report_reads_images(spark, tmp_path, monkeypatch):
+    monkeypatch.setitem(scans.DECODERS, ".pdf", lambda content: content.decode().split("|"))
+    monkeypatch.setitem(scans.RENDERERS, ".pdf", lambda content: content.split(b"|"))
+    (tmp_path / "a.pdf").write_bytes(b"one|two")
+    (tmp_path / "c.png").write_bytes(b"image")
+    assert cli.main(["report", str(tmp_path / "a.pdf"), str(tmp_path / "c.png"), "--output", f"{tmp_path}/out", "--skip-summary"], spark) == 0
+    got = {(r.book_id, r.page_number): (r.ocr_text, r.translation, r.notes) for r in spark.read.json(f"{tmp_path}/out/pages").collect()}
+    assert got == {("a", 1): ("One", "OnE", "3 bytes"), ("a", 2): ("twO", "twO", "3 bytes"), ("c", 1): ("", "", "5 bytes")}
+    assert not (tmp_path / "out" / "summary").exists()

@@ -10,7 +10,8 @@ import zipfile
 
 from pyspark.sql import functions as F
 
-from bookflow.operators import model_calls as M, rendering
+from bookflow import flows
+from bookflow.operators import checkpoints, model_calls as M, rendering
 from bookflow.plans import fixtures as X
 from bookflow.sources import scans, sinks
 from bookflow.streaming import progress as P
@@ -36,6 +37,72 @@ def test_translation_keeps_every_page(spark):
     assert {r.page_number: r.translation for r in M.translate(df, 1000).collect()} == {1: "EEE", 2: "", 3: "x\n\nE"}
 
 
+def refusing(word):
+    def client(kind, text):
+        if word in text:
+            raise M.AuthenticationError("401")
+        return text.upper()
+
+    return lambda: client
+
+
+def test_a_failed_chunk_fails_its_page_summary_and_section(spark):
+    long = "good one\n\n" + "x" * 1000 + "\n\nbad two\n\n" + "y" * 1000
+    pages = spark.createDataFrame([("b", 1, "", long), ("b", 2, "", "fine"), ("c", 1, "", "fine")], "book_id string, page_number int, ocr_text string, embedded_text string")
+    done = M.translate(pages, 1000, client=refusing("bad"))
+    got = {(r.book_id, r.page_number): (r.translation, r.error) for r in done.collect()}
+    assert got["b", 1][0] == "" and "401" in got["b", 1][1] and got["b", 2] == ("FINE", None)
+    assert {tuple(r) for r in M.failures(done).collect()} == {("b", 2, 1, 1), ("c", 1, 0, 0)}
+    assert {r.page_number for r in done.filter("book_id = 'b'").filter(checkpoints.needs_translation()).collect()} == {1}
+    texts = spark.createDataFrame([("b", long), ("c", "fine")], "book_id string, text string")
+    assert {r.book_id: (r.summary, r.error is None) for r in M.two_level_summary(texts, 1000, client=refusing("bad")).collect()} == {"b": (None, False), "c": ("## 分块 1\nFINE".upper(), True)}
+    sections = spark.createDataFrame([("b", 1, "t", long), ("b", 2, "u", "fine"), ("b", 3, "v", " ")], "book_id string, section_no int, title string, content string")
+    assert {r.section_no: (r.content, r.error is None) for r in M.repair(sections, 1000, client=refusing("bad")).collect()} == {1: (long, False), 2: ("FINE", True), 3: (" ", True)}
+
+
+def test_a_killed_run_goes_on_where_it_was(spark, tmp_path):
+    """The stand-in leaves a mark for each call and dies at the fourth page; the next run asks for the others only."""
+    calls, journal = tmp_path / "calls", f"{tmp_path}/journal"
+    calls.mkdir()
+
+    def factory(deadly):
+        def client(kind, text, image=None):
+            (calls / f"{text}-{os.urandom(4).hex()}").touch()
+            if deadly and text == "t3":
+                raise KeyboardInterrupt
+            return json.dumps({"text": text + "!", "notes": f"{len(image)}"})
+
+        return lambda: client
+
+    pages = spark.createDataFrame([("b", i, f"t{i}", b"x" * i if i else None) for i in range(7)], "book_id string, page_number int, embedded_text string, image binary").coalesce(1)
+    try:
+        M.ocr(pages, client=factory(True), journal=journal).collect()
+        raise AssertionError("the run should have been killed")
+    except Exception as e:
+        assert "should have been" not in str(e)
+    first = {p.name.split("-")[0] for p in calls.iterdir()}
+    assert "t3" in first and "t0" not in first
+    for p in calls.iterdir():
+        p.unlink()
+    got = {r.page_number: (r.ocr_text, r.notes, r.error) for r in M.ocr(pages, client=factory(False), journal=journal).collect()}
+    assert got[1] == ("t1!", "1", None) and got[6] == ("t6!", "6", None) and len(got) == 7
+    assert {p.name.split("-")[0] for p in calls.iterdir()} == {"t1", "t2", "t3", "t4", "t5", "t6"} - (first - {"t3"})
+
+
+def test_pages_that_are_read_already(spark, tmp_path):
+    pages = spark.createDataFrame([("b", 1, "look", b"abc"), ("b", 2, "look", b"abcd"), ("b", 3, "none", None)], "book_id string, page_number int, embedded_text string, image binary")
+    done = spark.createDataFrame([("b", 1, "kept", "n")], "book_id string, page_number int, ocr_text string, notes string")
+    got = {r.page_number: (r.ocr_text, r.notes, r.error) for r in flows.ocr_pages(pages, done, str(tmp_path)).collect()}
+    assert got == {1: ("kept", "n", None), 2: ("lOOk", "4 bytes", None), 3: ("", "", None)}
+
+
+def test_page_images(spark, monkeypatch):
+    monkeypatch.setitem(scans.RENDERERS, ".pdf", lambda content: content.split(b"|"))
+    docs = spark.createDataFrame([("a", "pdf", b"1|22"), ("b", "image", b"png"), ("c", "pdf", None)], "source string, kind string, content binary")
+    got = {(r.source, r.page_number): (bytes(r.image or b""), r.error is None) for r in scans.page_images(docs).collect()}
+    assert got == {("a", 1): (b"1", True), ("a", 2): (b"22", True), ("b", 1): (b"png", True), ("c", 1): (b"", False)}
+
+
 def records(folder, bad=True):
     os.makedirs(folder, exist_ok=True)
     for name, content in {
@@ -89,6 +156,8 @@ def test_documents_and_images(spark, tmp_path):
     assert {(r.source[-5:], r.kind) for r in docs.collect()} == {("a.PDF", "pdf"), ("b.png", "image")}
     pages = scans.scan_pages(docs.filter("kind = 'pdf'")).collect()
     assert len(pages) == 1 and pages[0].error and pages[0].page_number == 1
+    late = scans.scan_pages(docs.filter("kind = 'pdf'"), start=2).collect()
+    assert len(late) == 1 and late[0].error
     assert scans.image_size(png) == (640, 480) and scans.scan_images(docs).count() == 1
 
 
@@ -96,8 +165,11 @@ def test_writers(spark, tmp_path):
     pages = spark.createDataFrame([("b", 1, "x"), ("c", 2, "y")], "book_id string, page_number int, ocr_text string")
     sinks.write_checkpoints(pages, f"{tmp_path}/json")
     assert spark.read.json(f"{tmp_path}/json").count() == 2
-    sinks.write_texts(spark.createDataFrame([("b", "one\ntwo")], "book_id string, text string"), f"{tmp_path}/text")
+    books = spark.createDataFrame([("b", "one\ntwo")], "book_id string, text string")
+    sinks.write_texts(books, f"{tmp_path}/text", a_folder_each=True)
     assert spark.read.text(f"{tmp_path}/text").count() == 2
+    sinks.write_texts(books, f"{tmp_path}/lines")
+    assert [(r.book_id, r.text) for r in spark.read.json(f"{tmp_path}/lines").collect()] == [("b", "one\ntwo")] and os.listdir(f"{tmp_path}/lines")[0].startswith(("bucket=", "_", "."))
 
 
 def test_noise_is_one_regex_and_scans_are_pruned(spark, sf):
@@ -113,6 +185,15 @@ def test_entry_point_without_the_optional_parts(tmp_path):
     assert out.returncode == 0, out.stderr
 
 
+def test_entry_point_without_a_library_of_the_optional_parts(tmp_path):
+    subprocess.run(["cp", "-r", f"{ROOT}/bookflow", f"{ROOT}/__spark_entry__.py", f"{ROOT}/corpus_pipeline.py", str(tmp_path)], check=True)
+    if not os.path.exists(f"{tmp_path}/bookflow/llm"):
+        return
+    code = "import sys; sys.modules['numpy'] = None; import __spark_entry__ as e; q = e.queries(); assert len(q) > 90 and 'pipeline' not in q"
+    out = subprocess.run([sys.executable, "-c", code.replace("numpy", "xxhash")], cwd=tmp_path, env={**os.environ, "PYTHONPATH": str(tmp_path)}, capture_output=True, text=True)
+    assert out.returncode == 0 and "left out" in out.stderr, out.stderr
+
+
 def test_offsets_add_up(spark, sf):
     from bookflow.operators.lines import with_offsets
 
