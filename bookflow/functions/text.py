@@ -181,10 +181,15 @@ def blocks_pdf(line: Column, n: int = 1800) -> Column:
     return out.otherwise(F.transform(hard_slices(e, n), lambda s: F.struct(F.lit("body").alias("kind"), s.alias("text"))))
 
 
+def bound_once(x: Column, use) -> Column:
+    """use(x), with x evaluated once however often it is used."""
+    return F.element_at(F.transform(F.array(x), use), 1)
+
+
 def whole_json(x: Column) -> Column:
     """The value as VARIANT if the text is one JSON value and nothing else, else null."""
-    wrapped = F.try_parse_json(F.concat(F.lit("["), x, F.lit("]")))
-    return F.when(F.try_variant_get(wrapped, "$[1]", "variant").isNull(), F.try_variant_get(wrapped, "$[0]", "variant"))
+    one = lambda wrapped: F.when(F.try_variant_get(wrapped, "$[1]", "variant").isNull(), F.try_variant_get(wrapped, "$[0]", "variant"))
+    return bound_once(F.try_parse_json(F.concat(F.lit("["), x, F.lit("]"))), one)
 
 
 def lenient_json(x: Column) -> Column:
@@ -205,7 +210,8 @@ def lenient_json(x: Column) -> Column:
     text = rf'(?s)"text"{SPACE}*:{SPACE}*"(.*?)"{SPACE}*,{SPACE}*"notes"'
     notes = rf'(?s)"notes"{SPACE}*:{SPACE}*"(.*?)"{SPACE}*(?:\}}|$)'
     loose = F.when(bare.rlike(text), F.struct(quoted(text).alias("text"), quoted(notes).alias("notes")))
-    return F.coalesce(of(whole_json(bare)), of(whole_json(F.when(braces != "", braces))), loose, F.struct(strip(x).alias("text"), F.lit(rules.NOT_JSON).alias("notes")))
+    found = F.coalesce(bound_once(whole_json(bare), of), bound_once(whole_json(F.when(braces != "", braces)), of), loose)
+    return F.coalesce(found, F.struct(strip(x).alias("text"), F.lit(rules.NOT_JSON).alias("notes")))
 
 
 def chat_response_text(body: Column) -> Column:

@@ -68,9 +68,10 @@ def merge_paragraphs(lines: DataFrame) -> DataFrame:
     """(book_id, para_no, content, level): paragraphs (level 0) and titles, each title once where it comes first."""
     marked = lines.select("book_id", "line_no", T.strip(F.col("line")).alias("bare")).withColumn("level", T.title_level(F.col("bare")))
     cut = (F.col("bare") == "") | F.col("level").isNotNull()
-    marked = marked.withColumn("island", F.sum(cut.cast("int")).over(upto()))
-    seen = F.row_number().over(Window.partitionBy("book_id", "bare").orderBy("line_no"))
-    titles = marked.filter("level is not null").withColumn("nth", seen).filter("nth = 1").select("book_id", F.col("line_no").alias("at"), F.col("bare").alias("content"), "level")
-    body = marked.filter("bare <> '' and level is null").groupBy("book_id", "island").agg(F.min("line_no").alias("at"), joined("line_no", "bare", "\n").alias("content"))
-    both = titles.union(body.select("book_id", "at", "content", F.lit(0)))
-    return both.select("book_id", F.row_number().over(Window.partitionBy("book_id").orderBy("at")).alias("para_no"), "content", "level")
+    # a title opens an island of its own, so one aggregation gathers titles and paragraphs
+    marked = marked.withColumn("island", F.sum(cut.cast("int")).over(upto())).filter("bare <> ''")
+    part = F.struct("book_id", "island", F.coalesce("level", F.lit(0)).alias("level"))
+    whole = marked.groupBy(part.alias("g")).agg(F.min("line_no").alias("at"), joined("line_no", "bare", "\n").alias("content")).select("g.*", "at", "content")
+    first = Window.partitionBy("book_id", "content", F.col("level") > 0).orderBy("at")
+    kept = whole.withColumn("nth", F.when(F.col("level") > 0, F.row_number().over(first)).otherwise(1)).filter("nth = 1")
+    return kept.select("book_id", F.row_number().over(Window.partitionBy("book_id").orderBy("at")).alias("para_no"), "content", "level")

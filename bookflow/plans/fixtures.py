@@ -40,7 +40,7 @@ def body_sql() -> str:
 
 
 PAGES = f"""
-SELECT *, CASE WHEN doc_id % 5 <> 0 THEN {{body}} ELSE '' END AS translation FROM (
+SELECT *, {{body}} AS translation FROM (
  SELECT source || '-' || CAST(CAST(floor(doc_id / {BLOCK}.0) AS BIGINT) AS STRING) AS book_id, doc_id, 'pdf_page' AS kind,
   CAST(row_number() OVER (PARTITION BY source, CAST(floor(doc_id / {BLOCK}.0) AS BIGINT) ORDER BY doc_id) AS INT) AS page_number,
   coalesce(text, '') AS embedded_text, CASE WHEN doc_id % 3 = 0 THEN '' WHEN doc_id % 11 = 0 THEN '  ' ELSE coalesce(text, '') END AS ocr_text,
@@ -75,9 +75,13 @@ UNION ALL SELECT book_id, page_number, kind, embedded_text, 'stale', '', '', 'pa
 """
 
 
+#: Pages of which every fifth has no translation yet.
+PARTLY = "SELECT * EXCLUDE (translation), CASE WHEN doc_id % 5 <> 0 THEN translation ELSE '  ' END AS translation FROM v_pages"
+
+
 def with_views(sql: str) -> str:
     """DuckDB SQL with the views in front."""
-    return f"WITH v_pages AS ({pages_sql()}), v_book AS ({BOOKS_SQL}), v_lines AS ({LINES_SQL}), v_ckpt AS ({CHECKPOINTS}) {sql}"
+    return f"WITH v_pages AS ({pages_sql()}), v_book AS ({BOOKS_SQL}), v_lines AS ({LINES_SQL}), v_ckpt AS ({CHECKPOINTS}), v_partly AS ({PARTLY}) {sql}"
 
 
 def bound(spark: SparkSession, sql: str, **frames: DataFrame) -> DataFrame:
@@ -96,6 +100,10 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bound(spark, pages_sql("@docs@"), docs=table(spark, sf_dir, "documents"))
 
 
+def partly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bound(spark, PARTLY.replace("EXCLUDE", "EXCEPT").replace("v_pages", "@p@"), p=pages(spark, sf_dir))
+
+
 def checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bound(spark, CHECKPOINTS.replace("v_pages", "@p@"), p=pages(spark, sf_dir))
 

@@ -106,9 +106,9 @@ def eta(spark, sf_dir):
     return s.select("event_id", F.bround(P.minutes_left(F.col("phase"), F.col("done"), F.lit(TOTAL), F.col("seconds")), 4).alias("minutes_left"))
 
 
-@query("dashboard_lines", f"SELECT event_id, CAST(unnest([1, 2, 3]) AS INT) AS line_no, unnest(['  当前阶段:        ' || CASE phase WHEN 'ocr' THEN 'OCR 识别' WHEN 'translate' THEN '翻译' WHEN 'summary' THEN '总结' ELSE phase END, '  [' || repeat('█', b) || repeat('░', {rules.BAR} - b) || '] ' || format('{{:.1f}}', {PCT}) || '%', '  已完成: ' || CAST(done AS STRING) || '/{TOTAL} 页  |  剩余: ' || CAST({TOTAL} - done AS STRING) || ' 页']) AS line FROM (SELECT *, CAST(trunc({PCT} / 100 * {rules.BAR}) AS INT) AS b FROM {D}) f")
+@query("dashboard_lines", f"SELECT event_id, CAST(unnest([1, 2, 3, 4, 5]) AS INT) AS line_no, unnest(['  当前阶段:        ' || CASE phase WHEN 'ocr' THEN 'OCR 识别' WHEN 'translate' THEN '翻译' WHEN 'summary' THEN '总结' ELSE phase END, '  [' || repeat('█', b) || repeat('░', {rules.BAR} - b) || '] ' || format('{{:.1f}}', {PCT}) || '%', '  已完成: ' || CAST(done AS STRING) || '/{TOTAL} 页  |  剩余: ' || CAST({TOTAL} - done AS STRING) || ' 页', '    平均速度:      ' || format('{{:.3f}}', ppm::DOUBLE) || ' 页/分钟 (' || format('{{:.1f}}', ({SPP})::DOUBLE) || ' 秒/页)', '    总计剩余:      ' || format('{{:.0f}}', round_even({LEFT}, 0)::DOUBLE) || ' 分钟']) AS line FROM (SELECT *, CAST(trunc({PCT} / 100 * {rules.BAR}) AS INT) AS b, {PPM} AS ppm FROM {D}) f")
 def dashboard_lines(spark, sf_dir):
-    shown = F.slice(P.dashboard_lines(F.col("done"), F.lit(TOTAL), F.col("phase"), F.col("seconds")), 1, 3)
+    shown = P.dashboard_lines(F.col("done"), F.lit(TOTAL), F.col("phase"), F.col("seconds"))
     return states(spark, sf_dir).select("event_id", F.posexplode(shown).alias("p", "line")).select("event_id", (F.col("p") + 1).alias("line_no"), "line")
 
 

@@ -22,11 +22,21 @@ def source_kind(spark, sf_dir):
 PAGED = "SELECT page_id, CAST(unnest(range(1, len(ps) + 1)) AS INT) AS page_number, trim(unnest(ps)) AS embedded_text FROM (SELECT page_id, string_split(html, '<p>') AS ps FROM pages) a"
 
 
-@query("scan_pages", f"SELECT * FROM ({PAGED}) p WHERE page_number <= 5 AND page_number >= 2")
-def scan_pages(spark, sf_dir):
+def paged(spark, sf_dir, start, most):
     scans.register_decoder(".html", lambda content: [x.strip(" ") for x in content.decode().split("<p>")])
     documents = X.table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("source"), F.col("html").cast("binary").alias("content"))
-    return scans.scan_pages(documents, ".html", 2, 4).select(F.col("source").cast("long").alias("page_id"), "page_number", "embedded_text")
+    return scans.scan_pages(documents, ".html", start, most).select(F.col("source").cast("long").alias("page_id"), "page_number", "embedded_text")
+
+
+@query("scan_pages", PAGED)
+def scan_pages(spark, sf_dir):
+    return paged(spark, sf_dir, 1, None)
+
+
+@query("scan_page_window", f"SELECT * FROM ({PAGED}) p WHERE page_number <= 5 AND page_number >= 2")
+def scan_page_window(spark, sf_dir):
+    """Pages 2 to 5 of each document: the window is the feature."""
+    return paged(spark, sf_dir, 2, 4)
 
 
 @query("scan_images", "SELECT page_id, 'image' AS kind, 1 AS page_number, 'image_0001.jpg' AS image_path FROM pages WHERE page_id % 6 IN (1, 2, 5)")

@@ -101,6 +101,7 @@ PAGE_MARKER = r"^## 第 \d+ 页"
 PAGE_NUMBERS = [r"^第 \d+ 页$", r"^.+\| \d+$", r"^\d{1,4}$"]
 # Removals over whole texts, line by line, in order.
 MARKER_REMOVALS = [r"^## 第 \d+ 页\s*$", r"^\d{3,4}\s*\|.*$", r"^.+\|\s*\d+$", r"^第 \d+ 页$", r"^\d{1,4}$"]
+# Marks of notes and of lines that a page break cut.
 FOOTNOTE = r"^[①②③④⑤⑥⑦⑧⑨⑩]"
 FOOTNOTE_MARKS = "①②③④⑤⑥⑦⑧⑨⑩"
 BROKEN_LINE = r"//\s*$"
@@ -142,6 +143,7 @@ CONTENTS = [
 CONTENTS_START, CONTENTS_END, CONTENTS_TAIL = r"^《亚历山大四重奏》的辩证法\s*/\s*\d+$", r"^柄谷行人：移动的文学批评\s*/\s*\d+$", 2
 #: Titles at which the repair flow cuts: those of the contents but for the two parts.
 REPAIR_TITLES = [title for title, _, words in CONTENTS if words]
+# Titles with a star.
 STARRED = ["初刊·底本一览", "译后记", "柄谷行人：移动的文学批评"]
 # Texts that stand for missing results, and the notes of replies that are not JSON.
 NO_SUMMARY, NO_TRANSLATION, NO_EXTRACT, NOT_JSON = "未生成总结。", "未生成翻译。", "未生成原文抽取。", "Model did not return strict JSON."
