@@ -28,7 +28,9 @@ from . import pretoken
 from .common import blocks, pieces, table
 
 #: Pre-tokens kept by each Python worker, and the longest one kept.
-CACHE_ENTRIES, CACHE_CHARS = 100_000, 48
+CACHE_ENTRIES, CACHE_CHARS = 300_000, 48
+#: Bytes of the longest pre-token whose pairs are searched through at each merge; a heap serves longer ones.
+FEW = 64
 #: Tokens placed at once in decoding.
 SLICE = 1 << 17
 
@@ -43,11 +45,28 @@ def ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
 
 
+def merge_few(piece: bytes, by: dict[bytes, int]) -> list[int]:
+    """As merge(), by a search for the lowest rank at each step."""
+    none = 1 << 60  # above all ranks
+    cuts = [*range(len(piece) + 1)]
+    waiting = [by.get(piece[i : i + 2], none) for i in range(len(piece) - 1)]
+    while waiting and (low := min(waiting)) < none:
+        i = waiting.index(low)
+        del cuts[i + 1], waiting[i]
+        if i < len(waiting):
+            waiting[i] = by.get(piece[cuts[i] : cuts[i + 2]], none)
+        if i:
+            waiting[i - 1] = by.get(piece[cuts[i - 1] : cuts[i + 1]], none)
+    return [by[piece[a:b]] for a, b in zip(cuts[:-1], cuts[1:])]
+
+
 def merge(piece: bytes, by: dict[bytes, int]) -> list[int]:
     """Ids of one pre-token: the lowest rank merges first, the leftmost of equals; a heap keeps long ones fast."""
     if piece in by:
         return [by[piece]]
     n = len(piece)
+    if n <= FEW:
+        return merge_few(piece, by)
     start, after, before = list(range(n)), list(range(1, n + 1)), list(range(-1, n - 1))
     stop = list(range(1, n + 1))
     alive = [True] * n
