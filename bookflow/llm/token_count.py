@@ -28,7 +28,9 @@ from pyspark.sql import functions as F
 from . import pretoken
 from .common import blocks, pieces, table
 
-CACHE_ENTRIES, CACHE_CHARS = 200_000, 48
+CACHE_ENTRIES, CACHE_CHARS = 300_000, 48
+#: Code points counted at once: the rounds of many sequences cost little more than those of few.
+CHARS = 1 << 19
 #: Symbols of the longest sequence that is merged together with others.
 LONG = 512
 
@@ -175,7 +177,7 @@ def count_texts(texts: list[str], path: str) -> np.ndarray:
         cut = [split_special(t, c.special) for t in texts]
         total += np.array([n for _, n in cut], np.int64)
         flat, owner = [p for x, _ in cut for p in x], np.repeat(owner, [len(x) for x, _ in cut])
-    for owners, parts in blocks(flat):
+    for owners, parts in blocks(flat, CHARS):
         found, per_part = pretoken.tokens(parts)
         if found:
             total += np.bincount(np.repeat(owner[owners], per_part), c.counts(found), minlength=len(texts)).astype(np.int64)
@@ -187,7 +189,7 @@ def count(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: s
     path = path or public_tokenizers.path("byte_bpe_50k.json")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in pieces(batches, "text"):
+        for part, texts in pieces(batches, "text", CHARS):
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array(count_texts(texts, path))], ["id", "n_bytes", "n_tokens"])
 
     chosen = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
