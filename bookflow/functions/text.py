@@ -9,6 +9,7 @@ from bookflow import rules
 
 #: White space of a strip and of \s, and decimal digits, spelled out so that every regex engine agrees.
 SPACE = r"[\t-\r \x1c-\x1f\x85\p{Z}]"
+WHITE = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 DIGIT = r"\p{Nd}"
 LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}]"
 
@@ -40,11 +41,11 @@ def any_of(patterns: list[str]) -> str:
 
 
 def strip(x: Column) -> Column:
-    return F.regexp_replace(x, rf"^{SPACE}+|{SPACE}+\z", "")
+    return F.btrim(x, F.lit(WHITE))
 
 
 def rstrip(x: Column) -> Column:
-    return F.regexp_replace(x, rf"{SPACE}+\z", "")
+    return F.rtrim(x, F.lit(WHITE))
 
 
 def is_blank(x: Column) -> Column:

@@ -144,3 +144,12 @@ def test_retry_waits():
         return "ok"
 
     assert M.with_json_fallback(json_refused, sleep=lambda s: None) == "ok" and made == [True] * 3 + [False]
+
+
+def test_strip_equals_that_of_unicode_texts(spark):
+    from bookflow.functions import text as T
+
+    cases = [f"{a}x {b}y{a}{b}" for a in T.WHITE for b in ("", "　", "​")] + ["", T.WHITE, "​x", "é ", "中 "]
+    df = spark.createDataFrame([*enumerate(cases)], "i int, t string")
+    got = {r.i: (r.s, r.r) for r in df.select("i", T.strip(df.t).alias("s"), T.rstrip(df.t).alias("r")).collect()}
+    assert all(got[i] == (t.strip(), t.rstrip()) for i, t in enumerate(cases))
