@@ -10,7 +10,8 @@ from bookflow.operators import assembly, chunking, lines as L, rendering, sectio
 from bookflow.plans import fixtures as X
 from bookflow.plans.fixtures import matches_sql, quoted, strip_sql, with_views
 from bookflow.plans.registry import query
-from bookflow.plans.text_queries import BARE, DOCX, PDF, level_sql, nested
+from bookflow.plans.text_queries import BARE, DOCX, EXTRACTED, PDF, level_sql, nested
+from bookflow.sources import writers
 
 UPTO = "OVER (PARTITION BY book_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
 MARKER = matches_sql("line", [rules.PAGE_MARKER])
@@ -177,17 +178,72 @@ def formatted_blocks(spark, sf_dir):
     return rendering.formatted_blocks(L.merge_paragraphs(X.lines(spark, sf_dir)))
 
 
+def front_sql() -> str:
+    """Cover and contents page of the final Word file, as VALUES."""
+    rows = [(0, i, "cover", False, True, points, text) for i, (text, points) in enumerate(rules.COVER)] + [(1, 0, "heading1", True, True, 16, rules.CONTENTS_HEAD)]
+    for i, (title, parent, _) in enumerate(rules.CONTENTS, 1):
+        style, points = ("child", 11) if parent else ("part", 14) if title in ("Ⅰ", "Ⅱ") else ("top", 12)
+        rows.append((1, i, style, False, False, points, title))
+    return ", ".join(f"({a}, {b}, {quoted(c)}, {d}, {e}, {f}, {quoted(g)})" for a, b, c, d, e, f, g in rows)
 
 
-PARTS = f"SELECT book_id, 1 AS part_no, '中文翻译' AS head, text FROM v_book UNION ALL SELECT DISTINCT book_id, 0, '内容总结', {quoted(rules.NO_SUMMARY)} FROM v_book"
+ALONE = f"title IN ('Ⅰ', 'Ⅱ', {', '.join(map(quoted, rules.STARRED))})"
+FIRST = f"({ALONE} OR title = '序 文')"
+NOTED = matches_sql("paragraph", [rules.FOOTNOTE])
+FINAL = f"""
+SELECT b.book_id, part_no, section_no, 0 AS para_no, style, page_before, centred, points, text FROM (SELECT DISTINCT book_id FROM ({EXTENTS}) e) b CROSS JOIN (VALUES {front_sql()}) v(part_no, section_no, style, page_before, centred, points, text)
+UNION ALL SELECT book_id, 2, CAST(section_no AS INT), 0, CASE WHEN {FIRST} THEN 'heading1' ELSE 'heading2' END, {ALONE}, {FIRST}, CASE WHEN {FIRST} THEN 16 ELSE 14 END, title FROM ({EXTENTS}) e WHERE title <> {quoted(rules.PREAMBLE)}
+UNION ALL SELECT book_id, 2, CAST(section_no AS INT), para_no, CASE WHEN {NOTED} THEN 'footnote' ELSE 'indented' END, false, false, CASE WHEN {NOTED} THEN 9 ELSE 11 END, paragraph FROM ({SECTION_PARAS}) p WHERE title <> {quoted(rules.PREAMBLE)}"""
+
+
+@query("final_blocks", with_views(FINAL))
+def final_blocks(spark, sf_dir):
+    return rendering.final_blocks(section_extents(spark, sf_dir))
+
+
+@query("final_files")
+def final_files(spark, sf_dir):
+    """Word files of all books: (book_id, n_bytes)."""
+    return writers.final_files(final_blocks(spark, sf_dir)).select("book_id", F.length("content").alias("n_bytes"))
+
+
+FORMATTED = f"""
+SELECT DISTINCT book_id, 0 AS part_no, 0 AS section_no, p AS para_no, CASE p WHEN 0 THEN 'title' ELSE 'cover' END AS style, false AS page_before, true AS centred, CASE p WHEN 0 THEN 28 ELSE 11 END AS points, CASE p WHEN 0 THEN {quoted(rules.COVER[0][0])} ELSE {quoted(rules.COVER_LINE)} END AS text FROM ({MERGED}) m, (VALUES (0), (1)) v(p)
+UNION ALL SELECT book_id, 1, 0, CAST(para_no AS INT), CASE WHEN level > 0 THEN 'heading' || CAST(level AS STRING) ELSE 'body' END, level = 1, level = 1, CAST(CASE WHEN level > 0 THEN 18 - 2 * level ELSE 11 END AS INT), content FROM ({MERGED}) m"""
+
+
+@query("formatted_parts", with_marked(FORMATTED))
+def formatted_parts(spark, sf_dir):
+    return rendering.formatted_parts(L.merge_paragraphs(X.lines(spark, sf_dir)))
+
+
+#: The report of a book: its id, a summary (none for texts of even length), the translation and the extracted text.
+REPORTED = f"SELECT b.book_id, 'book: ' || b.book_id AS info, CASE WHEN length(b.text) % 2 = 1 THEN substring(b.text, 1, 80) ELSE ' ' END AS summary, b.text, x.text AS extracted FROM v_book b JOIN ({EXTRACTED}) x ON b.book_id = x.book_id"
+NONE = {"info": "", "summary": rules.NO_SUMMARY, "text": rules.NO_TRANSLATION, "extracted": rules.NO_EXTRACT}
+PARTS = " UNION ALL ".join(f"SELECT book_id, {i} AS part_no, {quoted(rules.REPORT_PARTS[i])} AS head, CASE WHEN {strip_sql(name)} = '' THEN {quoted(none)} ELSE {name} END AS text FROM ({REPORTED}) r{i}" for i, (name, none) in enumerate(NONE.items()))
 PART_LINES = "SELECT book_id, part_no, head, CAST(unnest(range(len(ls))) AS INT) AS line_no, unnest(ls) AS line FROM (SELECT *, CASE WHEN ls0[-1] = '' THEN ls0[:-2] ELSE ls0 END AS ls FROM (SELECT *, string_split(text, chr(10)) AS ls0 FROM (" + PARTS + ") p) q) r"
 
 
+def reported(spark, sf_dir):
+    """(book_id, info, summary, text, extracted) of all books."""
+    text, summary = F.col("text"), F.when(F.length("text") % 2 == 1, F.substring("text", 1, 80)).otherwise(" ")
+    extracted = assembly.extracted(X.pages(spark, sf_dir)).select("book_id", F.col("text").alias("extracted"))
+    return X.books(spark, sf_dir).select("book_id", F.concat(F.lit("book: "), "book_id").alias("info"), summary.alias("summary"), text).join(extracted, "book_id")
+
+
 @query("docx_blocks", with_views(DOCX.replace("SELECT book_id, line_no, kind", "SELECT book_id, part_no, head, line_no, kind").replace("SELECT book_id, line_no, ", "SELECT book_id, part_no, head, line_no, ").replace("FROM v_lines", f"FROM ({PART_LINES}) v")))
 def docx_blocks(spark, sf_dir):
-    return rendering.report_blocks(X.books(spark, sf_dir), "docx")
+    return rendering.report_blocks(reported(spark, sf_dir), "docx")
 
 
-@query("pdf_blocks", with_views(PDF.replace("book_id, line_no", "book_id, part_no, head, line_no").replace("FROM v_lines", f"FROM ({PART_LINES}) v")))
+@query("pdf_blocks", with_views(f"SELECT * REPLACE (CASE WHEN part_no = 0 THEN 'meta' ELSE kind END AS kind) FROM ({PDF.replace('book_id, line_no', 'book_id, part_no, head, line_no').replace('FROM v_lines', f'FROM ({PART_LINES}) v')}) k"))
 def pdf_blocks(spark, sf_dir):
-    return rendering.report_blocks(X.books(spark, sf_dir), "pdf")
+    return rendering.report_blocks(reported(spark, sf_dir), "pdf")
+
+
+@query("report_files")
+def report_files(spark, sf_dir):
+    """Word and PDF reports of all books: (book_id, suffix, n_bytes)."""
+    texts = reported(spark, sf_dir)
+    word, pdf = writers.report_files(rendering.report_blocks(texts, "docx")), writers.pdf_files(rendering.report_blocks(texts, "pdf"))
+    return word.select("book_id", F.lit(".docx").alias("suffix"), F.length("content").alias("n_bytes")).union(pdf.select("book_id", F.lit(".pdf"), F.length("content")))

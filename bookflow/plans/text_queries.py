@@ -38,14 +38,14 @@ def text_totals(spark, sf_dir):
 RECOGNISED = f"SELECT *, max({strip_sql('ocr_text')} <> '') OVER (PARTITION BY book_id) AS recognised FROM v_pages"
 
 
-@query(
-    "extracted_fallback",
-    with_views(
-        "SELECT book_id, CASE WHEN recognised THEN 'ocr_text' ELSE 'embedded_text' END AS field, text FROM ("
-        + markdown_sql("CASE WHEN recognised THEN ocr_text ELSE embedded_text END", f"CASE WHEN recognised THEN {NOTE} ELSE '' END", "book_id, recognised").replace("FROM v_pages", f"FROM ({RECOGNISED}) r")
-        + ") m"
-    ),
+EXTRACTED = (
+    "SELECT book_id, CASE WHEN recognised THEN 'ocr_text' ELSE 'embedded_text' END AS field, text FROM ("
+    + markdown_sql("CASE WHEN recognised THEN ocr_text ELSE embedded_text END", f"CASE WHEN recognised THEN {NOTE} ELSE '' END", "book_id, recognised").replace("FROM v_pages", f"FROM ({RECOGNISED}) r")
+    + ") m"
 )
+
+
+@query("extracted_fallback", with_views(EXTRACTED))
 def extracted_fallback(spark, sf_dir):
     return assembly.extracted(X.pages(spark, sf_dir))
 

@@ -147,6 +147,13 @@ REPAIR_TITLES = [title for title, _, words in CONTENTS if words]
 STARRED = ["初刊·底本一览", "译后记", "柄谷行人：移动的文学批评"]
 # Texts that stand for missing results, and the notes of replies that are not JSON.
 NO_SUMMARY, NO_TRANSLATION, NO_EXTRACT, NOT_JSON = "未生成总结。", "未生成翻译。", "未生成原文抽取。", "Model did not return strict JSON."
+# Headings of a report's parts, and the cover of the book: text, points.
+REPORT_PARTS = ["处理信息", "内容总结", "中文翻译", "原文抽取"]
+COVER = [("定本 柄谷行人文学论集", 28), ("柄谷行人 著", 16), ("陈言 译", 16), ("中央编译出版社", 14)]
+COVER_LINE, CONTENTS_HEAD = "柄谷行人 著 / 陈言 译", "目 录"
+# Styles of a PDF report (points, line height, space before and after, grey) and the font of Word files.
+PDF_STYLES = {"title": (18, 24, 0, 0, 0.0), "h1": (14, 20, 10, 6, 0.0), "h2": (12, 18, 8, 4, 0.0), "body": (9.5, 14, 0, 0, 0.0), "meta": (8.5, 12, 0, 0, 0.27)}
+PDF_MARGINS, PDF_SPACE, WORD_FONT = (16, 15), 4, "Microsoft YaHei"
 CUT_REFERENCE, REFERENCE_CHARS = "\n...[embedded text truncated as reference]...", 8000
 DPI, MAX_SIDE, JPEG_QUALITY, SLEEP, TARGET = 220, 3200, 92, 0.2, "简体中文"
 TOTAL_PAGES, TRANSLATE_MINUTES, SUMMARY_MINUTES, BAR = 190, 0.35, 3, 40
