@@ -54,11 +54,11 @@ def translate_report(pages: DataFrame, done: DataFrame, state: str, client: str
 
 
 def typeset(books: DataFrame) -> dict[str, DataFrame]:
-    """(book_id, text) of translated Markdown to LaTeX bodies, formatted blocks and Word report blocks."""
+    """(book_id, text) of translated Markdown to LaTeX bodies and to the blocks of the final, the formatted and the report file."""
     marked = books.select("book_id", T.strip_page_markers(F.col("text")).alias("text"))
     cut = sections.section_extents(marked, lines.explode_lines(marked))
     merged = lines.merge_paragraphs(lines.clean_content(lines.explode_lines(books)))
-    return {"sections": cut, "latex": rendering.latex_body(cut), "formatted": rendering.formatted_blocks(merged), "report": rendering.report_blocks(books, "docx")}
+    return {"sections": cut, "latex": rendering.latex_body(cut), "formatted": rendering.formatted_blocks(merged), "final": rendering.final_blocks(cut), "formatted_parts": rendering.formatted_parts(merged), "report": rendering.report_blocks(books, "docx")}
 
 
 def repair(books: DataFrame, client: str = "fake", most: int = 8000, titles: list[str] = rules.REPAIR_TITLES) -> DataFrame:

@@ -16,6 +16,16 @@ PROMPTS = {
     "reduce": "Write one summary in {target} from these partial summaries.\n\n{text}",
     "repair": "Join lines that page breaks cut within section \"{section}\"; change nothing else and output only the text.\n\n{text}",
 }
+#: What the model is told about its part, by task.
+SYSTEM = {
+    "ocr": "You transcribe scanned pages exactly, in reading order.",
+    "translate": "You translate books and long documents faithfully.",
+    "summarize": "You summarise parts of long texts.",
+    "reduce": "You write one readable, well ordered summary from partial ones.",
+    "repair": "You edit translations: you mend lines that page breaks cut and leave all else alone.",
+}
+#: Sampling temperatures; other tasks use the provider's own.
+TEMPERATURE = {"repair": 0.3}
 
 
 def profiles(spark: SparkSession) -> DataFrame:

@@ -76,17 +76,33 @@ def scan_pages(documents: DataFrame, suffix: str = ".pdf", start: int = 1, most:
     return documents.select("source", "content").mapInArrow(run, "source string, kind string, page_number int, embedded_text string, error string")
 
 
-def render_pdf(content: bytes) -> list[bytes]:
-    try:
-        import fitz
-    except ImportError as e:
-        raise RuntimeError("rendering PDF pages needs PyMuPDF, or a renderer registered for .pdf") from e
-    with fitz.open(stream=content, filetype="pdf") as doc:
-        return [page.get_pixmap(dpi=rules.DPI).tobytes("jpeg", rules.JPEG_QUALITY) for page in doc]
+Renderer = Callable[[bytes], list[bytes]]
 
 
-Renderer = Callable[[bytes], list[bytes]]
-RENDERERS: dict[str, Renderer] = {".pdf": render_pdf}
+def pdf_renderer(dpi: int = rules.DPI, most: int = rules.MAX_SIDE, quality: int = rules.JPEG_QUALITY) -> Renderer:
+    """A renderer of PDF pages at so many dots an inch, shrunk until the longer side is at most `most` (0: as they are)."""
+
+    def render(content: bytes) -> list[bytes]:
+        try:
+            import fitz
+        except ImportError as e:
+            raise RuntimeError("rendering PDF pages needs PyMuPDF, or a renderer registered for .pdf") from e
+        out = []
+        with fitz.open(stream=content, filetype="pdf") as doc:
+            for page in doc:
+                zoom = shrink(dpi / 72, page.rect.width, page.rect.height, most)
+                out.append(page.get_pixmap(matrix=fitz.Matrix(zoom, zoom), alpha=False).tobytes("jpeg", quality))
+        return out
+
+    return render
+
+
+def shrink(zoom: float, width: float, height: float, most: int) -> float:
+    """The zoom at which a page of that size in points has no side of more than `most` pixels."""
+    return min(zoom, most / max(width, height, 1)) if most > 0 else zoom
+
+
+RENDERERS: dict[str, Renderer] = {".pdf": pdf_renderer()}
 
 
 def register_renderer(suffix: str, renderer: Renderer) -> None:
@@ -111,6 +127,16 @@ def page_images(documents: DataFrame, suffix: str = ".pdf") -> DataFrame:
     return documents.select("source", "kind", "content").mapInArrow(run, "source string, page_number int, image binary, error string")
 
 
+def cached_images(spark: SparkSession, folder: str) -> DataFrame:
+    """(book_id, page_number, image) of the images that a run kept as folder/book_id/page_0001.jpg; other files are left out, and a folder that isn't there has none."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        return spark.createDataFrame([], "book_id string, page_number int, image binary")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "page_*.jpg").load(folder)
+    parts = F.split("path", "/")
+    return files.select(F.element_at(parts, -2).alias("book_id"), page_of_image(F.element_at(parts, -1)).alias("page_number"), F.col("content").alias("image")).filter("page_number IS NOT NULL")
+
+
 def scan_images(documents: DataFrame) -> DataFrame:
     """One page record for each image; its page is 1."""
     return documents.filter("kind = 'image'").select("source", F.lit("image").alias("kind"), F.lit(1).alias("page_number"), F.lit("image_0001.jpg").alias("image_path"))
