@@ -45,7 +45,8 @@ def scan_images(spark, sf_dir):
     return scans.scan_images(files).select(F.col("source").cast("long").alias("page_id"), "kind", "page_number", "image_path")
 
 
-NAME = "CASE doc_id % 3 WHEN 0 THEN 'page_' || lpad(CAST(doc_id AS STRING), 4, '0') || '.jpg' WHEN 1 THEN 'page_' || CAST(doc_id AS STRING) || '.jpgx' ELSE 'image_0001.jpg' END"
+#: Names as write_page_images makes them: at least four digits (lpad would cut longer numbers).
+NAME = "CASE doc_id % 3 WHEN 0 THEN format_string('page_%04d.jpg', doc_id) WHEN 1 THEN 'page_' || CAST(doc_id AS STRING) || '.jpgx' ELSE 'image_0001.jpg' END"
 
 
 @query("image_page_number", "SELECT doc_id, CAST(CASE WHEN doc_id % 3 < 2 THEN doc_id ELSE -1 END AS INT) AS page_number FROM documents")

@@ -33,3 +33,13 @@ def test_equal(spark, duck, sf, name):
     mine, other = registry.queries()[name](spark, sf).toPandas(), duck.execute(ORACLE[name]).df()
     assert sorted(mine.columns) == sorted(other.columns)
     assert plain(mine) == plain(other)
+
+
+def test_image_page_number_of_more_than_four_digits(spark, tmp_path):
+    ids = [None, 0, 1, 2, 42, 9999, 10000, 10001, 10002, 99999, 100001, 1234566, 2**31 - 2, 2**31 - 1]
+    spark.createDataFrame([(i,) for i in ids], "doc_id long").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    mine = registry.queries()["image_page_number"](spark, str(tmp_path)).collect()
+    assert {(r.doc_id, r.page_number) for r in mine} == set(con.execute(ORACLE["image_page_number"]).fetchall())
+    assert {r.doc_id: r.page_number for r in mine}[10002] == 10002 and len(mine) == len(ids)
